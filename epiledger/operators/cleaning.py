@@ -40,14 +40,17 @@ def parse_date(df: DataFrame, column: str = "date") -> DataFrame:
 def dedupe(
     df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None
 ) -> DataFrame:
-    """Keep the first row per key.
+    """Keep one row per key: the first by ``order_by``, nulls last.
 
-    Without ``order_by`` every other column breaks ties, so only identical rows
-    remain interchangeable.  The rank filter becomes a group limit that runs
-    before the shuffle too: a key holding a third of all rows sends one row per
-    map task.
+    Without ``order_by`` a hash of the other columns decides, so the choice does
+    not depend on how the rows arrive.  The rank filter becomes a group limit that
+    runs before the shuffle too: a key holding a third of all rows sends one row
+    per map task.
     """
-    order = list(order_by or [c for c in df.columns if c not in keys] or keys)
+    order = [F.asc_nulls_last(c) if isinstance(c, str) else c for c in order_by or []]
+    if not order:
+        values = [c for c in df.columns if c not in keys]
+        order = [F.xxhash64(*values) if values else F.lit(0)]
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_rank", F.row_number().over(ranked))
@@ -58,7 +61,7 @@ def dedupe(
 
 def latest_rows(df: DataFrame, keys: Sequence[str], date: str = "date") -> DataFrame:
     """The whole latest row per key, ties broken by the remaining columns."""
-    rest = [c for c in df.columns if c != date and c not in keys]
+    rest = [F.asc_nulls_last(c) for c in df.columns if c != date and c not in keys]
     return dedupe(df, keys, [F.desc_nulls_last(date), *rest])
 
 

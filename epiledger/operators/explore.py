@@ -179,17 +179,19 @@ def ranked_breakdown(
 def compare(df: DataFrame, countries: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """Each metric of the chosen countries as percent of the choice's maximum."""
     chosen = only(df, "country_name", countries)
-    percents = [
-        F.when(
-            chosen.agg(F.max(c)).scalar() > 0,
-            F.col(c) / chosen.agg(F.max(c)).scalar() * 100,
+    present = [c for c in metrics if c in df.columns]
+    peaks = chosen.agg(F.struct(*[F.max(c).alias(c) for c in present]).alias("_peaks"))
+    scaled = chosen.withColumn("_peaks", peaks.scalar())
+
+    def percent(c: str) -> Column:
+        peak = F.col("_peaks")[c]
+        return F.when(peak > 0, F.col(c) / peak * 100).when(
+            F.col(c).isNotNull(), F.lit(0.0)
         )
-        .otherwise(F.when(F.col(c).isNull(), F.lit(None)).otherwise(F.lit(0.0)))
-        .alias(c)
-        for c in metrics
-        if c in df.columns
-    ]
-    return chosen.select("country_name", "location_key", *percents)
+
+    return scaled.select(
+        "country_name", "location_key", *[percent(c).alias(c) for c in present]
+    )
 
 
 def adhoc(df: DataFrame, group: str, metric: str, how: str) -> DataFrame:
@@ -353,19 +355,25 @@ def correlations(df: DataFrame, metrics: Sequence[str] | None = None) -> DataFra
     """
     names = list(metrics or numeric_columns(df))
     cells = []
-    for a in names:
-        for b in names:
+    for i, a in enumerate(names):
+        for b in names[i:]:
             x, y = F.col(a).cast("double"), F.col(b).cast("double")
             both = x.isNotNull() & y.isNotNull()
             spread = F.stddev_pop(F.when(both, x)) * F.stddev_pop(F.when(both, y))
             cells.append(
                 F.struct(
-                    F.lit(a).alias("metric_a"),
-                    F.lit(b).alias("metric_b"),
+                    F.array(*[F.lit(n) for n in dict.fromkeys([a, b])]).alias("names"),
                     F.try_divide(F.covar_pop(x, y), spread).alias("correlation"),
                 )
             )
-    return df.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
+    pairs = df.agg(F.array(*cells).alias("_cells")).select(F.inline("_cells"))
+    return pairs.select(F.explode("names").alias("metric_a"), "names", "correlation").select(
+        "metric_a",
+        F.when(F.col("metric_a") == F.element_at("names", 1), F.element_at("names", -1))
+        .otherwise(F.element_at("names", 1))
+        .alias("metric_b"),
+        "correlation",
+    )
 
 
 def histogram(df: DataFrame, metric: str, bins: int) -> DataFrame:

@@ -17,6 +17,24 @@ from pyspark.sql import functions as F
 REGION_CODES = ["UR", "HI", "ME", "NO", "LO"]
 STATUSES = ["F", "O", "P"]
 
+# Declared, so that opening a table starts no job to infer its schema.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "orders": (
+        "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+}
+
 
 @dataclass(frozen=True)
 class Sources:
@@ -28,8 +46,8 @@ class Sources:
     continents: DataFrame
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _country(number: Column) -> Column:
@@ -44,7 +62,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, country = F.col("o_orderkey"), _country(F.col("o_custkey"))
     region = F.concat_ws("_", country, F.substring("o_orderpriority", 3, 2))
     day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date"))
-    return _table(spark, sf_dir, "orders").select(
+    return table(spark, sf_dir, "orders").select(
         key.alias("src_id"),
         F.col("o_orderdate").cast("date").alias("date"),
         F.when(key % 97 == 0, F.lit(None))
@@ -68,7 +86,7 @@ def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     country = _country(F.col("l_suppkey"))
     code = F.element_at(F.array(*[F.lit(c) for c in REGION_CODES]), _region_number())
-    return _table(spark, sf_dir, "lineitem").withColumns(
+    return table(spark, sf_dir, "lineitem").withColumns(
         {
             "date": F.col("l_shipdate").cast("date"),
             "location_key": F.when(F.col("l_orderkey") % 2 == 0, country).otherwise(
@@ -121,7 +139,7 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     suffixes = F.array(*[F.lit(s) for s in ["", *regions, *deeper]])
     level = F.size(F.split("suffix", "_")) - 1
     return (
-        _table(spark, sf_dir, "nation")
+        table(spark, sf_dir, "nation")
         .filter(F.col("n_nationkey") != 24)
         .select("n_name", country.alias("country_code"), F.explode(suffixes).alias("suffix"))
         .select(
@@ -140,7 +158,7 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population from customer counts; zero for nation 3, none for nation 5."""
     nation = F.col("c_nationkey")
     return (
-        _table(spark, sf_dir, "customer")
+        table(spark, sf_dir, "customer")
         .filter(nation != 5)
         .groupBy(_country(nation).alias("location_key"))
         .agg((F.count(F.lit(1)) * 100_000).alias("_people"))
@@ -157,10 +175,10 @@ def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def continents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region names by nation; nation 7 has none."""
     return (
-        _table(spark, sf_dir, "nation")
+        table(spark, sf_dir, "nation")
         .filter(F.col("n_nationkey") != 7)
         .join(
-            _table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
+            table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
         )
         .select(_country(F.col("n_nationkey")).alias("location_key"), F.col("r_name").alias("continent"))
     )

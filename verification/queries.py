@@ -285,7 +285,7 @@ def _overrides(spark, d):
     key = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
     number = F.col("n_nationkey")
     return (
-        spark.read.parquet(f"{d}/nation.parquet")
+        testbed.table(spark, d, "nation")
         .filter(F.col("n_regionkey") == 1)
         .select(
             key.alias("location_key"),
