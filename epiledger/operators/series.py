@@ -9,9 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from epiledger.functions.metrics import zero
+from epiledger.functions.metrics import open_cases, zero
 from epiledger.operators.lookups import keep_members, lookup, period_rates
-from epiledger.functions.metrics import open_cases
 from epiledger.schema import DAILY_RUNNING_TOTALS, GLOBAL_SERIES, PERIOD_TOTALS
 
 Day = str | dt.date
@@ -73,15 +72,26 @@ def selected_daily(country_daily: DataFrame, countries: Sequence[str]) -> DataFr
     )
 
 
-def _bucket(date: Column, frequency: str) -> tuple[Column, str]:
-    """Bucket label and step: the day, the Sunday ending the week, the month start."""
+_FREQUENCIES = ("daily", "weekly", "monthly")
+
+
+def _label(frequency: str) -> Column:
+    """The day, the Sunday ending the week, or the start of the month."""
     if frequency == "daily":
-        return date, "interval 1 day"
+        return F.col("date")
     if frequency == "weekly":
-        return F.next_day(F.date_sub(date, 1), "SUN"), "interval 7 days"
-    if frequency == "monthly":
-        return F.trunc(date, "MM"), "interval 1 month"
-    raise ValueError(f"unknown frequency {frequency!r}")
+        return F.next_day(F.date_sub("date", 1), "SUN")
+    return F.trunc("date", "MM")
+
+
+def _labels_until(following: Column, frequency: str) -> Column:
+    """This label and the unused ones before the following."""
+    last, step = {
+        "daily": (F.date_sub(following, 1), "interval 1 day"),
+        "weekly": (F.date_sub(following, 7), "interval 7 days"),
+        "monthly": (F.add_months(following, -1), "interval 1 month"),
+    }[frequency]
+    return F.sequence(F.col("date"), F.coalesce(last, F.col("date")), F.expr(step))
 
 
 def series_columns(df: DataFrame) -> list[str]:
@@ -93,20 +103,27 @@ def resample(
 ) -> DataFrame:
     """Sum a daily series into buckets and emit the empty ones as null.
 
-    Buckets collapse before the calendar is laid out from their own first and
-    last label, so both sides are one row per bucket.
+    Each bucket also lays out the empty ones up to the next, so the series is read
+    once and joined with nothing.  The frame runs over one row per bucket.
     """
+    if frequency not in _FREQUENCIES:
+        raise ValueError(f"unknown frequency {frequency!r}")
     metrics = list(columns or series_columns(series))
-    label, step = _bucket(F.col("date"), frequency)
     buckets = (
         series.filter(F.col("date").isNotNull())
-        .groupBy(label.alias("date"))
+        .groupBy(_label(frequency).alias("date"))
         .agg(*[F.sum(c).alias(c) for c in metrics])
     )
-    calendar = buckets.agg(F.min("date").alias("first"), F.max("date").alias("last")).select(
-        F.explode(F.sequence("first", "last", F.expr(step))).alias("date")
+    following = F.lead("date").over(Window.orderBy("date"))
+    filled = buckets.withColumn("_following", following).select(
+        F.explode(_labels_until(F.col("_following"), frequency)).alias("_label"),
+        "date",
+        *metrics,
     )
-    return calendar.join(buckets, "date", "left").orderBy("date")
+    return filled.select(
+        F.col("_label").alias("date"),
+        *[F.when(F.col("_label") == F.col("date"), F.col(c)).alias(c) for c in metrics],
+    ).orderBy("date")
 
 
 def running_totals(series: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

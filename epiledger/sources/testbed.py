@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 REGION_CODES = ["UR", "HI", "ME", "NO", "LO"]
@@ -50,137 +50,130 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _country(number: Column) -> Column:
-    return F.lpad((number % 25).cast("string"), 2, "0")
+def _country(number: str) -> str:
+    return f"lpad(cast({number} % 25 AS string), 2, '0')"
 
 
-def _whole(number: Column) -> Column:
-    return number.cast("double")
+def _day(date: str) -> str:
+    return f"datediff(cast({date} AS date), DATE'1992-01-01')"
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, country = F.col("o_orderkey"), _country(F.col("o_custkey"))
-    region = F.concat_ws("_", country, F.substring("o_orderpriority", 3, 2))
-    day = F.datediff(F.col("o_orderdate").cast("date"), F.lit("1992-01-01").cast("date"))
-    return table(spark, sf_dir, "orders").select(
-        key.alias("src_id"),
-        F.col("o_orderdate").cast("date").alias("date"),
-        F.when(key % 97 == 0, F.lit(None))
-        .when(key % 2 == 0, country)
-        .when(key % 7 == 3, F.concat_ws("_", region, "o_orderstatus"))
-        .otherwise(region)
-        .alias("location_key"),
-        F.when(key % 17 != 0, _whole(key % 1000 - 50)).alias("new_confirmed"),
-        F.when(F.col("o_orderstatus") == "F", _whole(key % 20))
-        .otherwise(F.lit(0.0))
-        .alias("new_deceased"),
-        F.when(F.col("o_orderstatus") == "P", _whole(key % 300)).alias("new_recovered"),
-        F.when(key % 34 != 0, _whole(day * 40 + key % 40)).alias("cumulative_confirmed"),
-        _whole(day * 2 + key % 2).alias("cumulative_deceased"),
-        F.when(key % 11 == 0, _whole(day * 60))
-        .when(key % 13 != 0, _whole(day * 10 + key % 10))
-        .alias("cumulative_recovered"),
+    country, day = _country("o_custkey"), _day("o_orderdate")
+    region = f"concat({country}, '_', substr(o_orderpriority, 3, 2))"
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey AS src_id",
+        "cast(o_orderdate AS date) AS date",
+        f"""CASE WHEN o_orderkey % 97 = 0 THEN null
+                 WHEN o_orderkey % 2 = 0 THEN {country}
+                 WHEN o_orderkey % 7 = 3 THEN concat({region}, '_', o_orderstatus)
+                 ELSE {region} END AS location_key""",
+        """CASE WHEN o_orderkey % 17 <> 0 THEN cast(o_orderkey % 1000 - 50 AS double) END
+           AS new_confirmed""",
+        """CASE WHEN o_orderstatus = 'F' THEN cast(o_orderkey % 20 AS double) ELSE 0D END
+           AS new_deceased""",
+        """CASE WHEN o_orderstatus = 'P' THEN cast(o_orderkey % 300 AS double) END
+           AS new_recovered""",
+        f"""CASE WHEN o_orderkey % 34 <> 0 THEN cast({day} * 40 + o_orderkey % 40 AS double)
+            END AS cumulative_confirmed""",
+        f"cast({day} * 2 + o_orderkey % 2 AS double) AS cumulative_deceased",
+        f"""CASE WHEN o_orderkey % 11 = 0 THEN cast({day} * 60 AS double)
+                 WHEN o_orderkey % 13 <> 0 THEN cast({day} * 10 + o_orderkey % 10 AS double)
+            END AS cumulative_recovered""",
     )
 
 
-def _deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    country = _country(F.col("l_suppkey"))
-    code = F.element_at(F.array(*[F.lit(c) for c in REGION_CODES]), _region_number())
-    return table(spark, sf_dir, "lineitem").withColumns(
-        {
-            "date": F.col("l_shipdate").cast("date"),
-            "location_key": F.when(F.col("l_orderkey") % 2 == 0, country).otherwise(
-                F.concat_ws("_", country, code)
-            ),
-        }
+def _deliveries(spark: SparkSession, sf_dir: str, *metrics: str) -> DataFrame:
+    country = _country("l_suppkey")
+    codes = ", ".join(f"'{c}'" for c in REGION_CODES)
+    region = f"element_at(array({codes}), cast(l_partkey % 5 + 1 AS int))"
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_shipdate AS date) AS date",
+        f"""CASE WHEN l_orderkey % 2 = 0 THEN {country}
+                 ELSE concat({country}, '_', {region}) END AS location_key""",
+        *metrics,
     )
 
 
-def _region_number() -> Column:
-    return (F.col("l_partkey") % 5 + 1).cast("int")
-
-
 def vaccinations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = F.datediff("date", F.lit("1992-01-01").cast("date"))
     return (
-        _deliveries(spark, sf_dir)
+        _deliveries(spark, sf_dir, "l_linenumber", "l_quantity")
         .groupBy("date", "location_key")
         .agg(
-            F.sum("l_linenumber").cast("double").alias("new_persons_vaccinated"),
+            F.sum("l_linenumber").alias("people"),
             F.sum("l_quantity").alias("new_vaccine_doses_administered"),
         )
-        .withColumns(
-            {
-                "cumulative_persons_vaccinated": _whole(day * 30),
-                "cumulative_vaccine_doses_administered": _whole(day * 200),
-            }
+        .selectExpr(
+            "date",
+            "location_key",
+            "cast(people AS double) AS new_persons_vaccinated",
+            "new_vaccine_doses_administered",
+            f"cast({_day('date')} * 30 AS double) AS cumulative_persons_vaccinated",
+            f"cast({_day('date')} * 200 AS double) AS cumulative_vaccine_doses_administered",
         )
     )
 
 
 def hospitalizations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    returned = F.when(F.col("l_returnflag") == "R", F.col("l_quantity"))
-    current = F.when(F.col("l_linestatus") == "O", F.col("l_quantity"))
     return (
-        _deliveries(spark, sf_dir)
+        _deliveries(
+            spark,
+            sf_dir,
+            "CASE WHEN l_returnflag = 'R' THEN l_quantity END AS returned",
+            "CASE WHEN l_linestatus = 'O' THEN l_quantity END AS open",
+        )
         .groupBy("date", "location_key")
         .agg(
-            F.sum(returned).alias("new_hospitalized_patients"),
-            F.sum(current).alias("current_hospitalized_patients"),
+            F.sum("returned").alias("new_hospitalized_patients"),
+            F.sum("open").alias("current_hospitalized_patients"),
         )
     )
 
 
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All nations but one, each with its first- and second-level regions."""
-    country = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
     regions = [f"_{code}" for code in REGION_CODES]
     deeper = [f"{region}_{status}" for region in regions for status in STATUSES]
-    suffixes = F.array(*[F.lit(s) for s in ["", *regions, *deeper]])
-    level = F.size(F.split("suffix", "_")) - 1
+    suffixes = ", ".join(f"'{s}'" for s in ["", *regions, *deeper])
     return (
         table(spark, sf_dir, "nation")
-        .filter(F.col("n_nationkey") != 24)
-        .select("n_name", country.alias("country_code"), F.explode(suffixes).alias("suffix"))
-        .select(
-            F.concat("country_code", "suffix").alias("location_key"),
-            F.col("n_name").alias("country_name"),
+        .filter("n_nationkey <> 24")
+        .selectExpr(
+            "n_name",
+            "lpad(cast(n_nationkey AS string), 2, '0') AS country_code",
+            f"explode(array({suffixes})) AS suffix",
+        )
+        .selectExpr(
+            "concat(country_code, suffix) AS location_key",
+            "n_name AS country_name",
             "country_code",
-            F.when(level > 0, F.concat("n_name", F.lit(" "), F.substring("suffix", 2, 2))).alias(
-                "subregion1_name"
-            ),
-            level.alias("aggregation_level"),
+            "CASE WHEN suffix <> '' THEN concat(n_name, ' ', substr(suffix, 2, 2)) END"
+            " AS subregion1_name",
+            "size(split(suffix, '_')) - 1 AS aggregation_level",
         )
     )
 
 
 def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population from customer counts; zero for nation 3, none for nation 5."""
-    nation = F.col("c_nationkey")
     return (
         table(spark, sf_dir, "customer")
-        .filter(nation != 5)
-        .groupBy(_country(nation).alias("location_key"))
-        .agg((F.count(F.lit(1)) * 100_000).alias("_people"))
-        .select(
-            "location_key",
-            F.when(F.col("location_key") == "03", F.lit(0))
-            .otherwise(F.col("_people"))
-            .cast("long")
-            .alias("population"),
+        .filter("c_nationkey <> 5")
+        .groupBy("c_nationkey")
+        .agg(F.count(F.lit(1)).alias("people"))
+        .selectExpr(
+            "lpad(cast(c_nationkey AS string), 2, '0') AS location_key",
+            "CASE WHEN c_nationkey = 3 THEN 0 ELSE people * 100000 END AS population",
         )
     )
 
 
 def continents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Region names by nation; nation 7 has none."""
-    return (
-        table(spark, sf_dir, "nation")
-        .filter(F.col("n_nationkey") != 7)
-        .join(
-            table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        .select(_country(F.col("n_nationkey")).alias("location_key"), F.col("r_name").alias("continent"))
+    nations = table(spark, sf_dir, "nation").filter("n_nationkey <> 7")
+    regions = table(spark, sf_dir, "region")
+    return nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
+        "lpad(cast(n_nationkey AS string), 2, '0') AS location_key", "r_name AS continent"
     )
 
 

@@ -12,7 +12,7 @@ from epiledger.functions.keys import has_case_data, is_country, is_regional
 from epiledger.operators import cleaning, estimates, explore, lookups, quality, series
 from epiledger.operators import summaries, unclean
 from epiledger.operators.frames import country_frame, facts_frame, regional_frame
-from epiledger.plans import views
+from epiledger.plans import reports, views
 from epiledger.sources import readers, sinks, testbed
 from epiledger.sources.shared import shared_folder
 from epiledger.streaming.key_counts import add_counts, count_keys
@@ -251,10 +251,11 @@ def regional_summary(spark, d):
 
 @query
 def run_all_counts(spark, d):
-    country, regional = _country(spark, d), _regional(spark, d)
-    return quality.row_counts(
-        summaries.run_all(country, testbed.demographics(spark, d), regional)
+    s = testbed.load(spark, d)
+    inputs = reports.Inputs(
+        s.cases, s.index, s.vaccinations, s.hospitalizations, s.demographics
     )
+    return quality.row_counts(reports.results_of(inputs, "clean", ORDER))
 
 
 # --- raw and estimating variants ---------------------------------------------
