@@ -19,6 +19,8 @@ from epiledger.functions.metrics import (
 )
 from epiledger.operators.cleaning import fill_all_numeric
 from epiledger.operators.lookups import (
+    ESTIMATE_CONTINENT_CODES,
+    continent_table,
     keep_members,
     lookup,
     override_merge,
@@ -134,6 +136,8 @@ def country_estimates(
     population = demographics.filter(is_country()).select(
         "location_key", number("population").alias("population")
     )
+    if continents is None:
+        continents = continent_table(named.sparkSession, ESTIMATE_CONTINENT_CODES)
     country = with_continent(named, continents)
     country = fill_all_numeric(lookup(country, doses, "location_key"))
     country = lookup(country, population, "location_key").fillna(0.0, ["population"])
