@@ -21,7 +21,6 @@ from epiledger.operators.cleaning import fill_all_numeric
 from epiledger.operators.lookups import (
     ESTIMATE_CONTINENT_CODES,
     continent_table,
-    keep_members,
     lookup,
     override_merge,
     with_continent,
@@ -189,7 +188,11 @@ def daily_estimates(cases: DataFrame, vaccinations: DataFrame) -> DataFrame:
 
 
 def regional_estimates(cases: DataFrame, index: DataFrame) -> DataFrame:
-    """Totals of first-level subdivisions under their own names."""
+    """Totals of first-level subdivisions under their own names.
+
+    Rows are summed per location before the index decides which locations stay, so
+    the facts themselves meet no join.
+    """
     regions = index_level(index, 1).select(
         "location_key",
         F.col("subregion1_name").alias("region_name"),
@@ -197,7 +200,7 @@ def regional_estimates(cases: DataFrame, index: DataFrame) -> DataFrame:
         F.col("country_name").alias("parent_country"),
     )
     totals = (
-        keep_members(increments(cases), regions.select("location_key"), "location_key")
+        increments(cases)
         .groupBy("location_key")
         .agg(
             F.sum("new_confirmed").alias("total_confirmed"),

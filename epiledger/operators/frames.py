@@ -84,7 +84,7 @@ def country_frame(
     """Clean country rows with vaccinations, admissions and country names.
 
     ``order_by`` decides which of several reports for one date and location is
-    kept; by default the smallest by its metrics.
+    kept; by default a hash of its metrics does.
     """
     return _named(
         _joined(

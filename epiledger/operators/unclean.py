@@ -162,14 +162,8 @@ def raw_hospitalization_summary(days: DataFrame) -> DataFrame:
     )
 
 
-def run_all_raw(
-    cases: DataFrame,
-    index: DataFrame,
-    vaccinations: DataFrame | None = None,
-    hospitalizations: DataFrame | None = None,
-) -> dict[str, DataFrame]:
+def raw_results(days: DataFrame) -> dict[str, DataFrame]:
     """The four raw results; a metric's result only when its column was reported."""
-    days = raw_days(cases, index, vaccinations, hospitalizations)
     results = {
         "country_summary": raw_country_summary(days),
         "daily_summary": raw_daily_summary(days),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from epiledger.operators.estimates import run_all_estimates
 from epiledger.operators.frames import country_frame, facts_frame, regional_frame
 from epiledger.operators.summaries import run_all
-from epiledger.operators.unclean import run_all_raw
+from epiledger.operators.unclean import raw_days, raw_results
 from epiledger.sources.readers import (
     read_csv,
     read_demographics,
@@ -88,9 +88,10 @@ def results_of(
     if variant == "clean":
         return clean_results(inputs, order_by)
     if variant == "raw":
-        return run_all_raw(
+        days = raw_days(
             inputs.cases, inputs.index, inputs.vaccinations, inputs.hospitalizations
         )
+        return raw_results(as_table(days, "raw-days"))
     if variant == "estimated":
         return run_all_estimates(
             inputs.cases,

@@ -4,7 +4,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from epiledger.operators.frames import country_frame, facts_frame, regional_frame
-from epiledger.operators.unclean import raw_days, run_all_raw
+from epiledger.operators.unclean import raw_days, raw_results
 
 DAY, NEXT = dt.date(2021, 1, 1), dt.date(2021, 1, 2)
 
@@ -101,7 +101,7 @@ def test_raw_totals_equal_those_of_the_pairs(cases, index, vaccinations, hospita
         ),
         "location_key",
     )
-    results = run_all_raw(cases2, index, vaccinations2, hospitalizations2)
+    results = raw_results(raw_days(cases2, index, vaccinations2, hospitalizations2))
     found = rows(results["country_summary"], "location_key")
     for key, totals in expected.items():
         assert {c: found[key][c] for c in totals} == totals
