@@ -24,36 +24,37 @@ def exact_quantiles(
     running count inside a block plus the totals of the blocks before.  Any edges
     give exact ranks as long as they stay the same, hence the checkpoint: a sketch
     merged anew after a lost executor may differ.
+
+    Nulls do not count; a group without values has null quantiles.
     """
-    rows = df.filter(F.col(value).isNotNull()).select(
-        F.struct(F.col(by) if by else F.lit(0)).alias("_group"),
-        F.col(value).alias("_value"),
+    group = ["_group"] if by else []
+    rows = df.select(
+        *([F.struct(by).alias("_group")] if by else []), F.col(value).alias("_value")
     )
     steps = F.array(*[F.lit(i / BLOCKS) for i in range(1, BLOCKS)])
-    edges = checkpointed(
-        rows.groupBy("_group").agg(
-            F.percentile_approx("_value", steps, BLOCKS * 8).alias("_edges")
-        )
-    )
+    sketch = F.percentile_approx("_value", steps, BLOCKS * 8).alias("_edges")
+    edges = checkpointed(rows.groupBy(*group).agg(sketch))
+    counts = rows.groupBy(*group, "_value").agg(F.count("_value").alias("_n"))
+    if by:
+        placed = counts.join(edges, "_group")
+    else:
+        placed = counts.withColumn("_edges", edges.scalar())
     block = F.size(F.filter("_edges", lambda edge: edge < F.col("_value")))
-    counts = rows.groupBy("_group", "_value").agg(F.count(F.lit(1)).alias("_n"))
-    placed = counts.join(edges, "_group").select(
-        "_group", "_value", "_n", block.alias("_block")
-    )
-    ordered_blocks = Window.partitionBy("_group").orderBy("_block")
+    placed = placed.select(*group, "_value", "_n", F.coalesce(block, F.lit(0)).alias("_block"))
+    ordered_blocks = Window.partitionBy(*group).orderBy("_block")
     before = ordered_blocks.rowsBetween(Window.unboundedPreceding, -1)
     blocks = (
-        placed.groupBy("_group", "_block")
+        placed.groupBy(*group, "_block")
         .agg(F.sum("_n").alias("_rows"))
         .select(
-            "_group",
+            *group,
             "_block",
             F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-            F.sum("_rows").over(Window.partitionBy("_group")).alias("_total"),
+            F.sum("_rows").over(Window.partitionBy(*group)).alias("_total"),
         )
     )
-    within = Window.partitionBy("_group", "_block").orderBy("_value")
-    ranked = placed.join(blocks, ["_group", "_block"]).withColumn(
+    within = Window.partitionBy(*group, "_block").orderBy("_value")
+    ranked = placed.join(blocks, [*group, "_block"]).withColumn(
         "_upto", F.col("_before") + F.sum("_n").over(within)
     )
 
@@ -67,7 +68,7 @@ def exact_quantiles(
     for i, p in enumerate(probabilities):
         ends.append(value_at(F.floor(position(p))).alias(f"_low{i}"))
         ends.append(value_at(F.ceil(position(p))).alias(f"_high{i}"))
-    picked = ranked.groupBy("_group").agg(F.max("_total").alias("_total"), *ends)
+    picked = ranked.groupBy(*group).agg(F.max("_total").alias("_total"), *ends)
 
     def interpolated(i: int, p: float) -> Column:
         low, high = F.col(f"_low{i}"), F.col(f"_high{i}")

@@ -198,11 +198,7 @@ def adhoc(df: DataFrame, group: str, metric: str, how: str) -> DataFrame:
     """One metric by one grouping; rows without a group form a group of their own."""
     if how == "median":
         medians = exact_quantiles(df, metric, [0.5], by=group)
-        known = medians.select(group, F.col("quantiles")[0].alias(metric))
-        absent = df.groupBy(group).agg(F.count(metric).alias("_n")).filter("_n = 0")
-        return known.unionByName(
-            absent.select(group, F.lit(None).cast("double").alias(metric))
-        )
+        return medians.select(group, F.col("quantiles")[0].alias(metric))
     functions = {"sum": F.sum, "mean": F.avg, "max": F.max}
     value = functions[how](metric)
     if how == "sum":
@@ -402,7 +398,8 @@ def histogram(df: DataFrame, metric: str, bins: int) -> DataFrame:
 
 def quartiles(df: DataFrame, metric: str, by: str | None = None) -> DataFrame:
     """Quartiles and the fences 1.5 interquartile ranges outside them."""
-    q = exact_quantiles(df, metric, [0.25, 0.5, 0.75], by)
+    known = df.filter(F.col(metric).isNotNull())
+    q = exact_quantiles(known, metric, [0.25, 0.5, 0.75], by)
     first, median, third = (F.col("quantiles")[i] for i in range(3))
     reach = (third - first) * 1.5
     return q.select(
@@ -428,12 +425,11 @@ def outliers(df: DataFrame, metric: str, by: str) -> DataFrame:
 
 def whiskers(df: DataFrame, metric: str, by: str) -> DataFrame:
     """Box per group: quartiles and the extreme values still inside the fences."""
-    box = quartiles(df, metric, by)
-    value = F.col(metric)
-    ends = (
-        df.join(box.select(by, "lower_fence", "upper_fence"), by)
-        .filter(value.between(F.col("lower_fence"), F.col("upper_fence")))
-        .groupBy(by)
+    box = ["q1", "median", "q3"]
+    inside = F.col(metric).between(F.col("lower_fence"), F.col("upper_fence"))
+    return (
+        df.join(quartiles(df, metric, by), by)
+        .filter(inside)
+        .groupBy(by, *box)
         .agg(F.min(metric).alias("lower_whisker"), F.max(metric).alias("upper_whisker"))
     )
-    return box.select(by, "q1", "median", "q3").join(ends, by)

@@ -29,3 +29,24 @@ def test_every_query_has_a_twin():
 def test_query_equals_twin(spark, connections, name):
     folder = FULL if name in AT_FULL else SMALL
     assert differences(spark, connections[folder], folder, name) is None
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "country_frame_rows", "global_metrics", "kpis", "ranked_breakdown",
+        "normalized_comparison", "metric_histogram", "metric_quartiles", "metric_outliers",
+        "resample_weekly", "monthly_top_countries",
+    ],
+)
+def test_plans_hold_without_broadcasts(spark, name):
+    """No nested loop, cartesian product or Python even when nothing may be broadcast."""
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")
+    try:
+        plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(setting, before)
+    for word in ("CartesianProduct", "NestedLoop", "Python"):
+        assert word not in plan

@@ -802,9 +802,19 @@ BODIES = {
         || ',"_loaded_at":"2024-01-01T00:00:00Z"}' AS document FROM country_sum""",
     "load_with_fallback": "SELECT *, 'parquet' AS source FROM vaccination",
     "csv_roundtrip": _CLEAN_CASES,
+    "typed_csv_roundtrip": "SELECT src_id, date, location_key, new_confirmed FROM cases",
+    "optional_demographics": """SELECT location_key, CAST(population AS VARCHAR) AS population
+        FROM demo""",
+    "counts_text": """SELECT trim(location_key) || chr(9) || count(*) AS value
+        FROM cases WHERE length(trim(location_key)) = 2 GROUP BY trim(location_key)""",
+    "preview_rows": "SELECT 'preview' AS result, least(count(*), 500) AS rows FROM cases",
+    "explored_regions": """SELECT * FROM regional_sum
+        WHERE contains(lower(location_key), '_hi_f') OR contains(lower(region_name), '_hi_f')
+           OR contains(lower(coalesce(parent_country, '')), '_hi_f')""",
     "key_line_counts": """SELECT trim(location_key) AS location_key, count(*) AS rows
         FROM cases WHERE length(trim(location_key)) = 2 GROUP BY 1""",
-    "empty_metric": "SELECT * FROM vaccination WHERE false",
+    "empty_metric": """SELECT 'country_summary' AS result, count(*) AS rows FROM country_sum
+        UNION ALL SELECT 'vaccination_summary', 0 UNION ALL SELECT 'hospitalization_summary', 0""",
     "filtered_country_view": _period(
         f"""WHERE date >= DATE '1996-01-01' AND date < DATE '2001-01-01'
             AND country_name IN {COUNTRIES}""",

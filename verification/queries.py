@@ -810,6 +810,46 @@ def csv_roundtrip(spark, d):
     ).withColumn("cumulative_recovered", F.col("cumulative_recovered").try_cast("double"))
 
 
+@query
+def typed_csv_roundtrip(spark, d):
+    base = _scratch(spark, "typed")
+    cases = testbed.cases(spark, d).select("src_id", "date", "location_key", "new_confirmed")
+    sinks.write_csv(cases, f"{base}/cases.csv")
+    return readers.read_typed_csv(
+        spark,
+        base,
+        "cases.csv",
+        "src_id long, date date, location_key string, new_confirmed double",
+    )
+
+
+@query
+def optional_demographics(spark, d):
+    """Population text read back where the file is there and has the column."""
+    base = _scratch(spark, "demographics")
+    sinks.write_csv(testbed.demographics(spark, d), f"{base}/demographics.csv")
+    return readers.read_demographics(spark, base)
+
+
+@query
+def counts_text(spark, d):
+    """Tab-separated counts as the line-oriented job writes them."""
+    path = _scratch(spark, "counts")
+    sinks.write_counts(count_keys(testbed.cases(spark, d)), path)
+    return spark.read.text(path)
+
+
+@query
+def preview_rows(spark, d):
+    return quality.row_counts({"preview": readers.preview(testbed.cases(spark, d), 500)})
+
+
+@query
+def explored_regions(spark, d):
+    regions = summaries.regional_summary(_regional(spark, d))
+    return views.explore(regions, "_HI_F", sort_by="total_confirmed")
+
+
 @query
 def key_line_counts(spark, d):
     """Keys counted off written lines, as the line-oriented job does."""
@@ -821,9 +861,14 @@ def key_line_counts(spark, d):
 
 @query
 def empty_metric(spark, d):
-    """Vaccinations never reported: a full schema without rows."""
-    return summaries.vaccination_summary(
-        _country_cases(spark, d).drop("new_persons_vaccinated")
+    """Vaccinations never reported: their result is empty, the others are not."""
+    frame = _country_cases(spark, d)
+    return quality.row_counts(
+        {
+            "country_summary": summaries.country_summary(frame),
+            "vaccination_summary": summaries.vaccination_summary(frame),
+            "hospitalization_summary": summaries.hospitalization_summary(frame),
+        }
     )
 
 
