@@ -4,7 +4,7 @@ from __future__ import annotations
 
 KEY_COLUMNS = ["date", "location_key"]
 
-# Metrics the cleaner casts, clips and fills.
+# Column names of the inputs.  These the cleaner casts, clips and fills.
 CLEANED_METRICS = [
     "new_confirmed",
     "new_deceased",
