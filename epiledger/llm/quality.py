@@ -15,7 +15,7 @@ SPACE = "[\\\\x20\\\\x09-\\\\x0D]"
 RULES = {
     "many_symbols": "n_symbols * 10 > n_words",
     "long_or_short_words": "word_chars < 2 * n_words OR word_chars > 12 * n_words",
-    "repeated_lines": "n_dup_lines * 10 > 3 * (1 + length(text) - length(replace(text, '\n', '')))",
+    "repeated_lines": "n_dup_lines > 3 AND n_dup_lines * 10 > 3 * (1 + length(text) - length(replace(text, '\n', '')))",
     "shouting": "regexp_count(text, '!!') * 10 > n_words",
     "capitals": "regexp_count(text, '[A-Z]') * 2 > word_chars",
 }

@@ -141,7 +141,7 @@ ORACLES = {
                NOT (base_failed
                     OR n_symbols * 10 > n_words
                     OR word_chars < 2 * n_words OR word_chars > 12 * n_words
-                    OR n_dup_lines * 10 > 3 * (1 + length(text) - length(replace(text, chr(10), '')))
+                    OR n_dup_lines > 3 AND n_dup_lines * 10 > 3 * (1 + length(text) - length(replace(text, chr(10), '')))
                     OR (length(text) - length(replace(text, '!!', ''))) / 2 * 10 > n_words
                     OR length(regexp_replace(text, '[^A-Z]', '', 'g')) * 2 > word_chars) AS kept
         FROM based
