@@ -22,7 +22,7 @@ SHARED = 4096  # classes of words by ending
 CLASSES = 1 + OWN + SHARED
 ROUNDS = 4
 STRETCH = 1024
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 16 << 20
 LN10 = math.log(10)
 
 
@@ -30,6 +30,16 @@ def ending_class(word: bytes) -> int:
     return 1 + OWN + zlib.crc32(word[-4:]) % SHARED
 
 
+def _squeezed(places: np.ndarray) -> bytes:
+    """32-bit numbers, bytes of equal weight side by side, compressed."""
+    return pa.compress(places.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unsqueezed(raw: bytes, n: int) -> np.ndarray:
+    whole = pa.decompress(raw, 4 * n, "zstd", asbytes=True)
+    return np.ascontiguousarray(np.frombuffer(whole, np.uint8).reshape(4, n).T).view("<i4").ravel()
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
     """Documents in blocks of some megabytes of text, each with a vocabulary of its own.
 
@@ -62,7 +72,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             words = list(places)
             train = [c for c, h in zip(coded, held, strict=True) if not h]
             counts = np.bincount(np.concatenate(train) if train else np.empty(0, np.int64), minlength=len(words))
-            flat = np.concatenate(coded).astype("<i4").tobytes()
+            flat = _squeezed(np.concatenate(coded).astype("<i4"))
             values = [
                 pa.array([number]), pa.array([words], pa.list_(pa.binary())),
                 pa.array([counts], pa.list_(pa.int64())), pa.array([ids], pa.list_(id_arrow)),
@@ -143,7 +153,7 @@ def _coded(blocks: DataFrame, vocabulary: DataFrame, lexicon: Lexicon) -> DataFr
         base, within = lexicon.base(counts), lexicon.within(classes, counts)
         end = float(lexicon.base(np.array([lexicon.train_docs]))[0])
         lengths = np.array(left.column("lengths")[0].as_py(), np.int64)
-        places = np.frombuffer(left.column("places")[0].as_py(), "<i4")
+        places = _unsqueezed(left.column("places")[0].as_py(), int(lengths.sum()))
         rows = defaultdict(list)
         for stop, n in zip(np.cumsum(lengths).tolist(), lengths.tolist(), strict=True):
             own = places[stop - n : stop]
