@@ -15,13 +15,14 @@ def zero(c: Column) -> Column:
 
 
 def number(c: str) -> Column:
-    """Double, or null where the text is not a number."""
-    return F.col(c).try_cast("double")
+    """Double, or null where the text is not a number or is NaN."""
+    value = F.col(c).try_cast("double")
+    return F.when(~F.isnan(value), value)
 
 
 def whole_number(c: str) -> Column:
     """Long, truncating decimals, null where the text is not a number."""
-    return F.col(c).try_cast("double").try_cast("long")
+    return number(c).try_cast("long")
 
 
 def clip_negative(c: Column) -> Column:

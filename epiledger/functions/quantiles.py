@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from epiledger.sources.shared import checkpointed
-
-BLOCKS = 256
+from epiledger.sources.shared import as_table
 
 
 def exact_quantiles(
@@ -19,11 +17,12 @@ def exact_quantiles(
     """Linearly interpolated quantiles, one array column ``quantiles`` per group.
 
     Spark's ``percentile`` keeps every distinct value of a group in one buffer.
-    Here each group is cut into blocks of neighbouring values at edges from a
-    fixed-size sketch, equal values are counted map-side, and a rank is the
-    running count inside a block plus the totals of the blocks before.  Any edges
-    give exact ranks as long as they stay the same, hence the checkpoint: a sketch
-    merged anew after a lost executor may differ.
+    Here equal values are counted map-side, so a value holding most rows is one
+    row; the counts are range-partitioned by group and value, as evenly as distinct
+    values allow and into as many parts as the session shuffles into; and a rank is the
+    running count inside a part plus the totals of the group's parts before.  Counts and parts
+    are stored: the source is read once, and parts stay what they are when an
+    executor is lost.
 
     Nulls do not count; a group without values has null quantiles.
     """
@@ -31,16 +30,16 @@ def exact_quantiles(
     rows = df.select(
         *([F.struct(by).alias("_group")] if by else []), F.col(value).alias("_value")
     )
-    steps = F.array(*[F.lit(i / BLOCKS) for i in range(1, BLOCKS)])
-    sketch = F.percentile_approx("_value", steps, BLOCKS * 8).alias("_edges")
-    edges = checkpointed(rows.groupBy(*group).agg(sketch))
-    counts = rows.groupBy(*group, "_value").agg(F.count("_value").alias("_n"))
-    if by:
-        placed = counts.join(edges, "_group")
-    else:
-        placed = counts.withColumn("_edges", edges.scalar())
-    block = F.size(F.filter("_edges", lambda edge: edge < F.col("_value")))
-    placed = placed.select(*group, "_value", "_n", F.coalesce(block, F.lit(0)).alias("_block"))
+    counts = as_table(
+        rows.groupBy(*group, "_value").agg(F.count("_value").alias("_n")), "value-counts"
+    )
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = as_table(
+        counts.repartitionByRange(parts, *group, "_value").withColumn(
+            "_block", F.spark_partition_id()
+        ),
+        "value-ranges",
+    )
     ordered_blocks = Window.partitionBy(*group).orderBy("_block")
     before = ordered_blocks.rowsBetween(Window.unboundedPreceding, -1)
     blocks = (

@@ -42,15 +42,14 @@ def dedupe(
 ) -> DataFrame:
     """Keep one row per key: the first by ``order_by``, nulls last.
 
-    Without ``order_by`` a hash of the other columns decides, so the choice does
-    not depend on how the rows arrive.  The rank filter becomes a group limit that
+    Without ``order_by`` the other columns decide, in their order, nulls last, so the
+    choice does not depend on how the rows arrive.  The rank filter becomes a group limit that
     runs before the shuffle too: a key holding a third of all rows sends one row
     per map task.
     """
     order = [F.asc_nulls_last(c) if isinstance(c, str) else c for c in order_by or []]
     if not order:
-        values = [c for c in df.columns if c not in keys]
-        order = [F.xxhash64(*values) if values else F.lit(0)]
+        order = [F.asc_nulls_last(c) for c in df.columns if c not in keys] or [F.lit(0)]
     ranked = Window.partitionBy(*keys).orderBy(*order)
     return (
         df.withColumn("_rank", F.row_number().over(ranked))

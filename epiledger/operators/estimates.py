@@ -19,7 +19,6 @@ from epiledger.functions.metrics import (
 )
 from epiledger.operators.cleaning import fill_all_numeric
 from epiledger.operators.lookups import (
-    ESTIMATE_CONTINENT_CODES,
     continent_table,
     lookup,
     override_merge,
@@ -50,8 +49,21 @@ def _country_names(index: DataFrame) -> DataFrame:
     return index_level(index, 0).select("location_key", "country_name")
 
 
-def _sum_or_zero(c: str) -> Column:
-    return zero(F.sum(number(c)))
+def _metric(df: DataFrame, c: str) -> Column:
+    """The number, or null where the source lacks the metric."""
+    return number(c) if c in df.columns else F.lit(None).cast("double")
+
+
+def _sum_or_zero(df: DataFrame, c: str) -> Column:
+    return zero(F.sum(_metric(df, c)))
+
+
+def _or_empty(df: DataFrame | None, like: DataFrame, ddl: str) -> DataFrame:
+    return df if df is not None else like.sparkSession.createDataFrame([], ddl)
+
+
+def _vaccinations_or_empty(vaccinations: DataFrame | None, like: DataFrame) -> DataFrame:
+    return _or_empty(vaccinations, like, "date date, location_key string")
 
 
 def vaccination_totals(vaccinations: DataFrame, index: DataFrame) -> DataFrame:
@@ -60,14 +72,14 @@ def vaccination_totals(vaccinations: DataFrame, index: DataFrame) -> DataFrame:
         vaccinations.filter(is_country())
         .groupBy("location_key")
         .agg(
-            _sum_or_zero("new_persons_vaccinated").alias("new_persons_vaccinated"),
-            F.max(number("cumulative_persons_vaccinated")).alias(
+            _sum_or_zero(vaccinations, "new_persons_vaccinated").alias("new_persons_vaccinated"),
+            F.max(_metric(vaccinations, "cumulative_persons_vaccinated")).alias(
                 "cumulative_persons_vaccinated"
             ),
-            _sum_or_zero("new_vaccine_doses_administered").alias(
+            _sum_or_zero(vaccinations, "new_vaccine_doses_administered").alias(
                 "new_vaccine_doses_administered"
             ),
-            F.max(number("cumulative_vaccine_doses_administered")).alias(
+            F.max(_metric(vaccinations, "cumulative_vaccine_doses_administered")).alias(
                 "cumulative_vaccine_doses_administered"
             ),
             F.count("date").alias("vaccination_days"),
@@ -84,7 +96,7 @@ def vaccination_totals(vaccinations: DataFrame, index: DataFrame) -> DataFrame:
 
 def hospitalization_totals(hospitalizations: DataFrame, index: DataFrame) -> DataFrame:
     """Per named country over all reports, zero and negative ones too."""
-    admitted = number("new_hospitalized_patients")
+    admitted = _metric(hospitalizations, "new_hospitalized_patients")
     totals = (
         hospitalizations.filter(is_country())
         .groupBy("location_key")
@@ -103,12 +115,14 @@ def hospitalization_totals(hospitalizations: DataFrame, index: DataFrame) -> Dat
 def country_estimates(
     cases: DataFrame,
     index: DataFrame,
-    vaccinations: DataFrame,
-    demographics: DataFrame,
+    vaccinations: DataFrame | None,
+    demographics: DataFrame | None,
     continents: DataFrame | None = None,
     overrides: DataFrame | None = None,
 ) -> DataFrame:
     """Country totals with continent, overrides, per-million rates and open cases."""
+    vaccinations = _vaccinations_or_empty(vaccinations, cases)
+    demographics = _or_empty(demographics, cases, "location_key string, population double")
     totals = (
         increments(cases)
         .filter(is_country())
@@ -136,7 +150,7 @@ def country_estimates(
         "location_key", number("population").alias("population")
     )
     if continents is None:
-        continents = continent_table(named.sparkSession, ESTIMATE_CONTINENT_CODES)
+        continents = continent_table(named.sparkSession)
     country = with_continent(named, continents)
     country = fill_all_numeric(lookup(country, doses, "location_key"))
     country = lookup(country, population, "location_key").fillna(0.0, ["population"])
@@ -159,8 +173,9 @@ def country_estimates(
     ).orderBy(F.desc("total_confirmed"), "location_key")
 
 
-def daily_estimates(cases: DataFrame, vaccinations: DataFrame) -> DataFrame:
+def daily_estimates(cases: DataFrame, vaccinations: DataFrame | None) -> DataFrame:
     """World series joined with vaccinations per date; both sides one row per day."""
+    vaccinations = _vaccinations_or_empty(vaccinations, cases)
     daily = (
         increments(cases)
         .filter(is_country() & F.col("date").isNotNull())
@@ -174,7 +189,7 @@ def daily_estimates(cases: DataFrame, vaccinations: DataFrame) -> DataFrame:
     vaccinated = (
         vaccinations.filter(is_country())
         .groupBy("date")
-        .agg(_sum_or_zero("new_persons_vaccinated").alias("global_new_vaccinated"))
+        .agg(_sum_or_zero(vaccinations, "new_persons_vaccinated").alias("global_new_vaccinated"))
     )
     week = Window.orderBy("date").rowsBetween(-6, 0)
     return (
@@ -220,23 +235,28 @@ def regional_estimates(cases: DataFrame, index: DataFrame) -> DataFrame:
 def run_all_estimates(
     cases: DataFrame,
     index: DataFrame,
-    vaccinations: DataFrame,
-    hospitalizations: DataFrame,
-    demographics: DataFrame,
+    vaccinations: DataFrame | None,
+    hospitalizations: DataFrame | None,
+    demographics: DataFrame | None,
     continents: DataFrame | None = None,
     overrides: DataFrame | None = None,
     world: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """The estimating results; ``world`` is the caller's own row of world totals."""
+    """The estimating results; ``world`` is the caller's own row of world totals.
+
+    An absent input leaves out its own result; in the others its figures are 0.
+    """
     results = {
         "country_summary": country_estimates(
             cases, index, vaccinations, demographics, continents, overrides
         ),
         "daily_summary": daily_estimates(cases, vaccinations),
         "regional_summary": regional_estimates(cases, index),
-        "vaccination_summary": vaccination_totals(vaccinations, index),
-        "hospitalization_summary": hospitalization_totals(hospitalizations, index),
     }
+    if vaccinations is not None:
+        results["vaccination_summary"] = vaccination_totals(vaccinations, index)
+    if hospitalizations is not None:
+        results["hospitalization_summary"] = hospitalization_totals(hospitalizations, index)
     if world is not None:
         results["global_metrics"] = world
     return results

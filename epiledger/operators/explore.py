@@ -19,9 +19,6 @@ from epiledger.functions.metrics import dose_metric, positive, zero
 from epiledger.functions.quantiles import exact_quantiles
 from epiledger.operators.lookups import with_continent
 
-# Countries whose recoveries are not shown.
-RECOVERED_NOT_SHOWN = ("India", "Japan")
-
 
 # --- filters -----------------------------------------------------------------
 
@@ -53,10 +50,10 @@ def of_continent(df: DataFrame, continent: str = "All") -> DataFrame:
 
 def search_places(df: DataFrame, pattern: str) -> DataFrame:
     """Name or key matches the regular expression, ignoring case."""
-    wanted = pattern.strip().lower()
+    wanted = pattern.strip()
     if not wanted:
         return df
-    hits = [F.lower(c).rlike(wanted) for c in ("country_name", "location_key")]
+    hits = [F.col(c).rlike(f"(?i){wanted}") for c in ("country_name", "location_key")]
     return df.filter(_any_of(hits))
 
 
@@ -132,11 +129,13 @@ def ranked_breakdown(
     pattern: str = "",
     continents: DataFrame | None = None,
     world: DataFrame | None = None,
+    recovered_not_shown: Sequence[str] = (),
 ) -> DataFrame:
     """Countries numbered by cases, under a total row for the continent or the world.
 
     The total row has position 0.  A continent's is computed; the world's is the
-    caller's row.  A search shows matches only.  Values not to be shown are null.
+    caller's row.  A search shows matches only.  Values that are not
+    positive are null, and so are recoveries of the countries named as not shown.
     """
     shown = [
         "total_confirmed", "total_deceased", "total_recovered",
@@ -149,7 +148,7 @@ def ranked_breakdown(
         name.alias("place"),
         "total_confirmed",
         "total_deceased",
-        F.when(~name.isin(*RECOVERED_NOT_SHOWN), positive("total_recovered")).alias(
+        F.when(~name.isin(list(recovered_not_shown)), positive("total_recovered")).alias(
             "total_recovered"
         ),
         *[positive(c).alias(c) for c in shown[3:]],
@@ -185,9 +184,7 @@ def compare(df: DataFrame, countries: Sequence[str], metrics: Sequence[str]) ->
 
     def percent(c: str) -> Column:
         peak = F.col("_peaks")[c]
-        return F.when(peak > 0, F.col(c) / peak * 100).when(
-            F.col(c).isNotNull(), F.lit(0.0)
-        )
+        return F.when(peak > 0, F.col(c) / peak * 100).otherwise(F.lit(0.0))
 
     return scaled.select(
         "country_name", "location_key", *[percent(c).alias(c) for c in present]
@@ -259,7 +256,12 @@ def kpis(
         }
         stack(world, 0, {f: F.col(c) for f, c in names.items() if c in world.columns})
     if country is not None:
-        sums = {f: F.sum(c) for f, c in _KPIS.items() if c in country.columns}
+        some = F.count(F.lit(1)) > 0
+        sums = {
+            f: F.when(some, zero(F.sum(c)))
+            for f, c in _KPIS.items()
+            if c in country.columns
+        }
         if "location_key" in country.columns:
             sums["countries_regions"] = F.count_distinct("location_key")
         totals = country.agg(*[v.alias(f) for f, v in sums.items()])

@@ -12,6 +12,7 @@ from pyspark.sql.window import Window
 from epiledger.functions.metrics import open_cases, zero
 from epiledger.operators.lookups import keep_members, lookup, period_rates
 from epiledger.schema import DAILY_RUNNING_TOTALS, GLOBAL_SERIES, PERIOD_TOTALS
+from epiledger.sources.shared import as_table
 
 Day = str | dt.date
 
@@ -171,11 +172,19 @@ def monthly_top(
 def month_pivot(
     country_daily: DataFrame, metric: str, n: int = 20, group: str = "country_name"
 ) -> DataFrame:
-    """Top ``n`` groups by month, one column per month that occurs, gaps as 0."""
-    monthly = monthly_top(country_daily, metric, n, group).withColumn(
-        "month", F.date_format("month", "yyyy-MM-dd")
+    """Top ``n`` groups by month, one column per month that occurs, gaps as 0.
+
+    The monthly totals, a few rows a group, are stored: naming the columns reads them,
+    not the facts.
+    """
+    monthly = as_table(
+        monthly_top(country_daily, metric, n, group).withColumn(
+            "month", F.date_format("month", "yyyy-MM-dd")
+        ),
+        "monthly-totals",
     )
-    return monthly.groupBy(group).pivot("month").agg(F.sum(metric)).fillna(0.0)
+    months = [r.month for r in monthly.select("month").distinct().orderBy("month").collect()]
+    return monthly.groupBy(group).pivot("month", months).agg(F.sum(metric)).fillna(0.0)
 
 
 def peak_period(series: DataFrame, metric: str = "global_new_confirmed") -> DataFrame:

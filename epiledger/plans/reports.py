@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epiledger.functions.metrics import number
 from epiledger.operators.estimates import run_all_estimates
 from epiledger.operators.frames import country_frame, facts_frame, regional_frame
 from epiledger.operators.summaries import run_all
@@ -20,7 +21,7 @@ from epiledger.sources.readers import (
     read_optional_csv,
     read_parquet,
 )
-from epiledger.sources.shared import as_table
+from epiledger.sources.shared import as_table, scratch_tables
 from epiledger.sources.sinks import write_all_documents, write_results
 
 
@@ -32,15 +33,31 @@ class Inputs:
     hospitalizations: DataFrame | None = None
     demographics: DataFrame | None = None
     continents: DataFrame | None = None
+    overrides: DataFrame | None = None
+    world: DataFrame | None = None
+
+
+def _numbers(df: DataFrame | None) -> DataFrame | None:
+    """Numbers in every column that is not a name, a key or a date."""
+    if df is None:
+        return None
+    text = {"location_key", "country_name", "latest_data_date"}
+    return df.withColumns({c: number(c) for c in df.columns if c not in text})
 
 
 def read_inputs(spark: SparkSession, base: str) -> Inputs:
+    """The CSV files of a folder; all but the first two are optional."""
     return Inputs(
         cases=read_csv(spark, base, "epidemiology.csv"),
         index=read_csv(spark, base, "index.csv"),
         vaccinations=read_optional_csv(spark, base, "vaccinations.csv"),
         hospitalizations=read_optional_csv(spark, base, "hospitalizations.csv"),
         demographics=read_demographics(spark, base),
+        continents=read_optional_csv(
+            spark, base, "continents.csv", ["location_key", "continent"]
+        ),
+        overrides=_numbers(read_optional_csv(spark, base, "overrides.csv", ["location_key"])),
+        world=_numbers(read_optional_csv(spark, base, "world.csv")),
     )
 
 
@@ -100,6 +117,8 @@ def results_of(
             inputs.hospitalizations,
             inputs.demographics,
             inputs.continents,
+            inputs.overrides,
+            inputs.world,
         )
     raise ValueError(f"unknown variant {variant!r}")
 
@@ -115,12 +134,13 @@ def run(
 
     Returns the documents written per result, empty when none are asked for.
     """
-    results = results_of(read_inputs(spark, input_path), variant)
-    write_results(results, output_path)
-    if documents_path is None:
-        return {}
-    stored = {name: read_parquet(spark, output_path, name) for name in results}
-    return write_all_documents(stored, documents_path)
+    with scratch_tables(spark):
+        results = results_of(read_inputs(spark, input_path), variant)
+        write_results(results, output_path)
+        if documents_path is None:
+            return {}
+        stored = {name: read_parquet(spark, output_path, name) for name in results}
+        return write_all_documents(stored, documents_path)
 
 
 def session(app_name: str, master: str | None = None) -> SparkSession:

@@ -19,6 +19,7 @@ CLEANED_METRICS = [
     "cumulative_hospitalized_patients",
 ]
 
+# Column names of the inputs and results, from here on.
 CASE_METRICS = [
     "new_confirmed",
     "new_deceased",

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from epiledger.functions.keys import is_country
 from epiledger.schema import RESULT_DDL
@@ -29,13 +31,20 @@ def read_typed_csv(
     return reader.csv(f"{base.rstrip('/')}/{name}")
 
 
+def is_missing(error: AnalysisException) -> bool:
+    """Whether the path is not there; any other failure is one."""
+    return error.getCondition() == "PATH_NOT_FOUND"
+
+
 def read_optional_csv(
     spark: SparkSession, base: str, name: str, required: Sequence[str] = ()
 ) -> DataFrame | None:
     """The file, or None where it is missing or lacks a required column."""
     try:
         df = read_csv(spark, base, name)
-    except AnalysisException:
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
         return None
     return df if all(c in df.columns for c in required) else None
 
@@ -55,11 +64,20 @@ def read_parquet(spark: SparkSession, base: str, name: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, base: str, name: str) -> DataFrame:
-    """A document collection without its bookkeeping fields."""
+    """A document collection without its bookkeeping fields.
+
+    The schema stored beside it gives back every column with its type; a collection that
+    came without one is inferred.
+    """
+    path = f"{base.rstrip('/')}/{name}"
     reader = spark.read
-    if name in RESULT_DDL:
-        reader = reader.schema(RESULT_DDL[name])
-    return reader.json(f"{base.rstrip('/')}/{name}").drop("_id", "_loaded_at")
+    try:
+        stored = spark.read.text(f"{path}.schema").first()
+        reader = reader.schema(T.StructType.fromJson(json.loads(stored[0])))
+    except AnalysisException as error:
+        if not is_missing(error):
+            raise
+    return reader.json(path).drop("_id", "_loaded_at")
 
 
 def read_result(
@@ -74,7 +92,9 @@ def read_result(
             continue
         try:
             df = read(spark, base, name)
-        except AnalysisException:
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
             continue
         if label == "parquet" or not df.isEmpty():
             return df, label

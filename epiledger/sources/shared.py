@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,23 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that :func:`as_table` makes inside are deleted at the end."""
+    paths: list[str] = []
+    _scopes.append(paths)
+    try:
+        yield
+    finally:
+        _scopes.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def as_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """The frame written once as columnar files and scanned by every reader.
 
@@ -36,6 +55,8 @@ def as_table(df: DataFrame, name: str, partition_by: str | None = None) -> DataF
     lets each reader prune columns and partitions.
     """
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(partition_by)

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import math
 from collections.abc import Mapping
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from epiledger.sources.shared import as_table
+
 
 def write_results(results: Mapping[str, DataFrame], base: str) -> None:
     """Parquet, one directory per result, overwritten."""
@@ -18,18 +18,16 @@ def write_results(results: Mapping[str, DataFrame], base: str) -> None:
 
 
 def write_compact(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> int:
-    """Parquet in as few files as ``rows_per_file`` allows: a small result is one file.
+    """Parquet in few files: small partitions are merged, none holds over ``rows_per_file``.
 
-    The result is computed in parallel and only its rows move; nothing is capped.
+    The limit decides the number of files only; all rows are written.  The result is computed
+    once and counted on the way.
     """
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        rows = kept.count()
-        files = max(1, math.ceil(rows / rows_per_file))
-        kept.repartition(files).write.mode("overwrite").parquet(path)
-    finally:
-        kept.unpersist()
-    return rows
+    seen = Observation("compact")
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance")
+    writer = counted.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+    writer.parquet(path)
+    return seen.get["rows"]
 
 
 def as_documents(df: DataFrame, loaded_at: str | None = None) -> DataFrame:
@@ -46,15 +44,18 @@ def as_json(df: DataFrame) -> DataFrame:
 def write_documents(df: DataFrame, base: str, name: str, loaded_at: str | None = None) -> int:
     """Replace a document collection; returns the number written.
 
-    An empty input leaves the old collection as it is and returns 0.  Executors
-    write their own rows; the count is observed on the way.
+    An empty input leaves the old collection as it is and returns 0.  The input is
+    computed once, into the shared folder; executors write their own rows.  The schema is stored
+    beside the collection.
     """
-    if df.isEmpty():
-        return 0
-    seen = Observation(name)
-    stamped = as_documents(df, loaded_at).observe(seen, F.count(F.lit(1)).alias("rows"))
-    stamped.write.mode("overwrite").json(f"{base.rstrip('/')}/{name}")
-    return seen.get["rows"]
+    kept = as_table(as_documents(df, loaded_at), f"documents-{name}")
+    rows = kept.count()
+    if rows:
+        path = f"{base.rstrip('/')}/{name}"
+        schema = df.sparkSession.createDataFrame([(kept.schema.json(),)], "value string")
+        schema.coalesce(1).write.mode("overwrite").text(f"{path}.schema")
+        kept.write.mode("overwrite").json(path)
+    return rows
 
 
 def write_all_documents(results: Mapping[str, DataFrame], base: str) -> dict[str, int]:

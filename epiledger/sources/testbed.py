@@ -3,8 +3,9 @@
 Orders become case reports, line items vaccinations and admissions, nations and
 customers the dimensions.  Locations and metrics are read off each fact row
 itself, so the adapter adds no join and no window.  Keys give two-character
-countries, first-level (``03_UR``) and second-level (``03_UR_F``) regions;
-nulls, negatives, repeated reports and unmatched keys all occur.
+countries, first-level (``03_URGENT``) and second-level (``03_URGENT_F``) regions;
+nulls, negatives, repeated reports and unmatched keys all occur.  No row is left out:
+dimension rows that are to match nothing get a key of their own.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-REGION_CODES = ["UR", "HI", "ME", "NO", "LO"]
+REGION_CODES = ["URGENT", "HIGH", "MEDIUM", "NOT SPECIFIED", "LOW"]
 STATUSES = ["F", "O", "P"]
 
 # Declared, so that opening a table starts no job to infer its schema.
@@ -50,8 +51,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def place_key(number: str) -> str:
+    """At least two digits, and more where the number has more."""
+    text = f"cast({number} AS string)"
+    return f"lpad({text}, greatest(2, length({text})), '0')"
+
+
 def _country(number: str) -> str:
-    return f"lpad(cast({number} % 25 AS string), 2, '0')"
+    """Customers and suppliers report from 25 places."""
+    return place_key(f"({number} % 25)")
 
 
 def _day(date: str) -> str:
@@ -60,7 +68,7 @@ def _day(date: str) -> str:
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     country, day = _country("o_custkey"), _day("o_orderdate")
-    region = f"concat({country}, '_', substr(o_orderpriority, 3, 2))"
+    region = f"concat({country}, '_', substr(o_orderpriority, 3))"
     return table(spark, sf_dir, "orders").selectExpr(
         "o_orderkey AS src_id",
         "cast(o_orderdate AS date) AS date",
@@ -131,23 +139,23 @@ def hospitalizations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All nations but one, each with its first- and second-level regions."""
+    """Nations with their first- and second-level regions; facts of place 24 find none."""
     regions = [f"_{code}" for code in REGION_CODES]
     deeper = [f"{region}_{status}" for region in regions for status in STATUSES]
     suffixes = ", ".join(f"'{s}'" for s in ["", *regions, *deeper])
     return (
         table(spark, sf_dir, "nation")
-        .filter("n_nationkey <> 24")
         .selectExpr(
             "n_name",
-            "lpad(cast(n_nationkey AS string), 2, '0') AS country_code",
+            f"CASE WHEN n_nationkey = 24 THEN 'ZZ' ELSE {place_key('n_nationkey')} END"
+            " AS country_code",
             f"explode(array({suffixes})) AS suffix",
         )
         .selectExpr(
             "concat(country_code, suffix) AS location_key",
             "n_name AS country_name",
             "country_code",
-            "CASE WHEN suffix <> '' THEN concat(n_name, ' ', substr(suffix, 2, 2)) END"
+            "CASE WHEN suffix <> '' THEN concat(n_name, ' ', split_part(suffix, '_', 2)) END"
             " AS subregion1_name",
             "size(split(suffix, '_')) - 1 AS aggregation_level",
         )
@@ -155,25 +163,27 @@ def index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def demographics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population from customer counts; zero for nation 3, none for nation 5."""
+    """Population from customer counts; zero for nation 3, elsewhere for nation 5."""
     return (
         table(spark, sf_dir, "customer")
-        .filter("c_nationkey <> 5")
         .groupBy("c_nationkey")
         .agg(F.count(F.lit(1)).alias("people"))
         .selectExpr(
-            "lpad(cast(c_nationkey AS string), 2, '0') AS location_key",
+            f"CASE WHEN c_nationkey = 5 THEN 'ZY' ELSE {place_key('c_nationkey')} END"
+            " AS location_key",
             "CASE WHEN c_nationkey = 3 THEN 0 ELSE people * 100000 END AS population",
         )
     )
 
 
 def continents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Region names by nation; nation 7 has none."""
-    nations = table(spark, sf_dir, "nation").filter("n_nationkey <> 7")
+    """Region names by nation; place 7 finds none."""
+    nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
     return nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).selectExpr(
-        "lpad(cast(n_nationkey AS string), 2, '0') AS location_key", "r_name AS continent"
+        f"CASE WHEN n_nationkey = 7 THEN 'ZX' ELSE {place_key('n_nationkey')} END"
+        " AS location_key",
+        "r_name AS continent",
     )
 
 

@@ -75,3 +75,12 @@ def test_latest_rows_prefers_dates_over_nulls(spark):
 def test_timestamps_become_dates(spark):
     df = spark.createDataFrame([(dt.datetime(2021, 1, 1, 5),)], "date timestamp")
     assert cleaning.parse_date(df).first().date == DAY
+
+
+def test_default_dedupe_does_not_depend_on_arrival(spark):
+    rows = [("k", 5, None), ("k", None, 5), ("k", 7, 1), ("j", None, None), ("j", 1, None)]
+    found = []
+    for given in (rows, rows[::-1], rows[2:] + rows[:2]):
+        df = spark.createDataFrame(given, "key string, a int, b int")
+        found.append(sorted(map(tuple, cleaning.dedupe(df, ["key"]).collect())))
+    assert found[0] == found[1] == found[2] == [("j", 1, None), ("k", 5, None)]

@@ -85,7 +85,11 @@ def test_outliers(spark):
 
 def test_ranked_breakdown_world_and_hidden_values(country, spark):
     world = spark.createDataFrame([("World", 9.0)], "place string, total_confirmed double")
-    found = explore.ranked_breakdown(country, world=world).collect()
+    open_rows = explore.ranked_breakdown(country, world=world).collect()
+    assert [r.total_recovered for r in open_rows] == [None, None, 50.0, 40.0, None]
+    found = explore.ranked_breakdown(
+        country, world=world, recovered_not_shown=("India", "Japan")
+    ).collect()
     assert [(r.position, r.place) for r in found] == [
         (0, "World"), (1, "France"), (2, "India"), (3, "Japan"), (4, "XX"),
     ]
@@ -169,7 +173,7 @@ def test_unknown_continent_is_other(spark):
     df = spark.createDataFrame([("NZ",), ("ST",), ("??",)], "location_key string")
     found = {r.location_key: r.continent for r in lookups.with_continent(df).collect()}
     assert found == {"NZ": "Oceania", "ST": "Other", "??": "Other"}
-    wider = lookups.continent_table(spark, lookups.ESTIMATE_CONTINENT_CODES)
+    wider = lookups.continent_table(spark)
     found = {r.location_key: r.continent for r in lookups.with_continent(df, wider).collect()}
     assert found["ST"] == "Africa"
 
@@ -177,3 +181,34 @@ def test_unknown_continent_is_other(spark):
 def test_map_names(spark):
     df = spark.createDataFrame([("Türkiye",), ("Peru",), (None,)], "country_name string")
     assert {r.map_country_name for r in lookups.with_map_names(df).collect()} == {"Turkey", "Peru"}
+
+
+def test_each_continent_code_once_and_known(spark):
+    kept = {r.location_key: r.continent for r in lookups.continent_table(spark).collect()}
+    assert kept == lookups.CONTINENTS
+    for code, continent in {"MO": "Asia", "XK": "Europe", "GI": "Europe", "JE": "Europe",
+                            "GG": "Europe", "IM": "Europe", "GF": "South America"}.items():
+        assert kept[code] == continent
+    assert set(lookups.ONLY_ESTIMATED) <= set(kept)
+
+
+def test_key_figures_of_all_null_columns_are_zero(spark):
+    country = spark.createDataFrame(
+        [("A", None)], "location_key string, total_confirmed double"
+    )
+    assert explore.kpis(None, country, None).first().total_cases == 0.0
+
+
+def test_quantiles_of_mostly_equal_values_and_nan(spark):
+    rows = [(0.0,)] * 999 + [(float(k),) for k in range(1, 1000)]
+    df = spark.createDataFrame(rows, "v double")
+    found = explore.quartiles(df, "v").first()
+    ordered = sorted(v for (v,) in rows)
+    assert found.q1 == 0.0 and found.median == 0.5
+    at = 0.75 * (len(ordered) - 1)
+    low = ordered[int(at)]
+    assert found.q3 == low + (ordered[int(at) + 1] - low) * (at - int(at))
+    text = spark.createDataFrame([("1",), ("NaN",), ("3",)], "v string")
+    from epiledger.functions.metrics import number
+    numbers = text.select(number("v").alias("v"))
+    assert explore.quartiles(numbers, "v").first().median == 2.0

@@ -109,3 +109,15 @@ def test_views(spark, folder, tmp_path):
     found = views.explore(results["country_summary"], "INDIA", "total_confirmed", export_to=str(tmp_path / "e"))
     assert found.count() == 1
     assert spark.read.option("header", True).csv(str(tmp_path / "e")).count() == 1
+
+
+def test_estimated_run_with_absent_inputs_and_columns(spark, cases, index):
+    from epiledger.operators.estimates import run_all_estimates, vaccination_totals
+
+    results = run_all_estimates(cases, index, None, None, None)
+    assert set(results) == {"country_summary", "daily_summary", "regional_summary"}
+    country = {r.location_key: r for r in results["country_summary"].collect()}
+    assert country["US"].population == 0.0 and country["US"].total_people_vaccinated == 0.0
+    assert results["daily_summary"].count() > 0
+    few = spark.createDataFrame([("2021-01-01", "IN")], "date string, location_key string")
+    assert vaccination_totals(few, index).first().total_vaccinated == 0.0

@@ -109,3 +109,13 @@ def test_quality_report(spark, result):
 def test_contract_gaps(spark, result):
     gaps = quality.contract_gaps({"hospitalization_summary": result, "other": result})
     assert gaps == {"hospitalization_summary": ["avg_daily_hospitalized", "hospitalization_days"]}
+
+
+def test_documents_keep_columns_and_types_of_any_result(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("US", None, 3), ("FR", 1.5, 4)], "location_key string, never double, peak_cumulative long"
+    )
+    sinks.write_documents(df, str(tmp_path), "country_summary")
+    back = readers.read_documents(spark, str(tmp_path), "country_summary")
+    assert back.dtypes == df.dtypes
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import re
 
 COUNTRIES = "('NATION_1', 'NATION_2', 'NATION_3', 'NATION_8')"
-CODES = "['UR', 'HI', 'ME', 'NO', 'LO']"
+CODES = "['URGENT', 'HIGH', 'MEDIUM', 'NOT SPECIFIED', 'LOW']"
 MONTHS = [f"{y}-{m:02d}-01" for y in range(1995, 2002) for m in range(1, 13)][:79]
 
 CLEANED = [
@@ -23,6 +23,11 @@ CASES = CLEANED[:5]
 VACCINES = CLEANED[5:9]
 
 
+def _key(number):
+    text = f"CAST({number} AS VARCHAR)"
+    return f"lpad({text}, CAST(greatest(2, length({text})) AS INTEGER), '0')"
+
+
 def _clean(columns, table=""):
     dot = f"{table}." if table else ""
     return ", ".join(
@@ -76,11 +81,11 @@ PIECES = {
     "cases": f"""
       SELECT o_orderkey AS src_id, CAST(o_orderdate AS DATE) AS date,
         CASE WHEN o_orderkey % 97 = 0 THEN NULL
-             WHEN o_orderkey % 2 = 0 THEN lpad(CAST(o_custkey % 25 AS VARCHAR), 2, '0')
-             WHEN o_orderkey % 7 = 3 THEN lpad(CAST(o_custkey % 25 AS VARCHAR), 2, '0')
-               || '_' || substr(o_orderpriority, 3, 2) || '_' || o_orderstatus
-             ELSE lpad(CAST(o_custkey % 25 AS VARCHAR), 2, '0')
-               || '_' || substr(o_orderpriority, 3, 2) END AS location_key,
+             WHEN o_orderkey % 2 = 0 THEN {_key('o_custkey % 25')}
+             WHEN o_orderkey % 7 = 3 THEN {_key('o_custkey % 25')}
+               || '_' || substr(o_orderpriority, 3) || '_' || o_orderstatus
+             ELSE {_key('o_custkey % 25')}
+               || '_' || substr(o_orderpriority, 3) END AS location_key,
         CASE WHEN o_orderkey % 17 <> 0 THEN CAST(o_orderkey % 1000 - 50 AS DOUBLE) END
           AS new_confirmed,
         CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderkey % 20 AS DOUBLE)
@@ -97,10 +102,10 @@ PIECES = {
             FROM orders)""",
     "deliveries": f"""
       SELECT *, CAST(l_shipdate AS DATE) AS date,
-        lpad(CAST(l_suppkey % 25 AS VARCHAR), 2, '0')
+        {_key('l_suppkey % 25')}
           || CASE WHEN l_orderkey % 2 = 0 THEN '' ELSE '_' ||
-             CASE l_partkey % 5 WHEN 0 THEN 'UR' WHEN 1 THEN 'HI' WHEN 2 THEN 'ME'
-                                WHEN 3 THEN 'NO' ELSE 'LO' END END AS location_key
+             CASE l_partkey % 5 WHEN 0 THEN 'URGENT' WHEN 1 THEN 'HIGH' WHEN 2 THEN 'MEDIUM'
+                                WHEN 3 THEN 'NOT SPECIFIED' ELSE 'LOW' END END AS location_key
       FROM lineitem""",
     "vacc": """
       SELECT date, location_key, CAST(sum(l_linenumber) AS DOUBLE) AS new_persons_vaccinated,
@@ -116,27 +121,27 @@ PIECES = {
         sum(CASE WHEN l_linestatus = 'O' THEN l_quantity END) AS current_hospitalized_patients
       FROM deliveries GROUP BY date, location_key""",
     "idx": f"""
-      SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') || s.suffix AS location_key,
-        n_name AS country_name, lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS country_code,
-        CASE WHEN s.level > 0 THEN n_name || ' ' || substr(s.suffix, 2, 2) END
+      SELECT CASE WHEN n_nationkey = 24 THEN 'ZZ' ELSE {_key('n_nationkey')} END || s.suffix AS location_key,
+        n_name AS country_name,
+        CASE WHEN n_nationkey = 24 THEN 'ZZ' ELSE {_key('n_nationkey')} END AS country_code,
+        CASE WHEN s.level > 0 THEN n_name || ' ' || split_part(s.suffix, '_', 2) END
           AS subregion1_name,
         CAST(s.level AS INTEGER) AS aggregation_level
       FROM nation, (
         SELECT '' AS suffix, 0 AS level
         UNION ALL SELECT '_' || c, 1 FROM (SELECT unnest({CODES}) AS c)
         UNION ALL SELECT '_' || c || '_' || t, 2
-          FROM (SELECT unnest({CODES}) AS c), (SELECT unnest(['F', 'O', 'P']) AS t)) s
-      WHERE n_nationkey <> 24""",
-    "demo": """
-      SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS location_key,
+          FROM (SELECT unnest({CODES}) AS c), (SELECT unnest(['F', 'O', 'P']) AS t)) s""",
+    "demo": f"""
+      SELECT CASE WHEN c_nationkey = 5 THEN 'ZY' ELSE {_key('c_nationkey')} END AS location_key,
         CAST(CASE WHEN c_nationkey = 3 THEN 0 ELSE count(*) * 100000 END AS BIGINT)
           AS population
-      FROM customer WHERE c_nationkey <> 5 GROUP BY c_nationkey""",
-    "cont": """
-      SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS location_key, r_name AS continent
-      FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 7""",
-    "overrides": """
-      SELECT lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS location_key,
+      FROM customer GROUP BY c_nationkey""",
+    "cont": f"""
+      SELECT CASE WHEN n_nationkey = 7 THEN 'ZX' ELSE {_key('n_nationkey')} END AS location_key, r_name AS continent
+      FROM nation JOIN region ON n_regionkey = r_regionkey""",
+    "overrides": f"""
+      SELECT {_key('n_nationkey')} AS location_key,
         'Republic ' || n_name AS country_name,
         CAST(n_nationkey * 1000 + 5 AS DOUBLE) AS total_confirmed,
         CAST(n_nationkey * 10 AS DOUBLE) AS total_deceased,
@@ -770,8 +775,8 @@ BODIES = {
         WHERE coalesce(total_confirmed, 0) >= 100000 AND coalesce(population, 0) >= 5000000
           AND coalesce(total_people_vaccinated, 0) >= 10""",
     "search_any_column": """SELECT * FROM regional_sum
-        WHERE contains(lower(location_key), '_hi_f') OR contains(lower(region_name), '_hi_f')
-           OR contains(lower(coalesce(parent_country, '')), '_hi_f')""",
+        WHERE contains(lower(location_key), '_high_f') OR contains(lower(region_name), '_high_f')
+           OR contains(lower(coalesce(parent_country, '')), '_high_f')""",
     "search_regex": """SELECT * FROM country_sum
         WHERE regexp_matches(lower(country_name), '^nation_2|^1[0-3]$')
            OR regexp_matches(lower(location_key), '^nation_2|^1[0-3]$')""",
@@ -796,6 +801,22 @@ BODIES = {
     "parquet_roundtrip": "SELECT * FROM regional_sum",
     "compact_parquet": "SELECT * FROM country_sum",
     "documents_roundtrip": "SELECT * FROM country_sum",
+    "all_documents_counts": """SELECT 'country_summary' AS result, count(*) AS rows
+        FROM country_sum UNION ALL SELECT 'vaccination_summary', count(*) FROM vaccination""",
+    "dedupe_default_order": """SELECT date, location_key, new_confirmed, src_id FROM (
+        SELECT *, row_number() OVER (PARTITION BY date, location_key
+          ORDER BY new_confirmed NULLS LAST, src_id) AS rn
+        FROM cases WHERE date IS NOT NULL AND location_key IS NOT NULL) WHERE rn = 1""",
+    "repeated_dimension_keys": f"""SELECT c.location_key, src_id, c_mktsegment, c_custkey
+        FROM cases c LEFT JOIN (SELECT *, {_key('c_nationkey')} AS k, row_number() OVER (
+          PARTITION BY c_nationkey ORDER BY c_mktsegment NULLS LAST, c_custkey) AS rn
+          FROM customer) d ON c.location_key = k AND rn = 1""",
+    "built_in_continents": """SELECT n_name, code AS location_key, CASE code
+          WHEN 'US' THEN 'North America' WHEN 'BR' THEN 'South America' WHEN 'FR' THEN 'Europe'
+          WHEN 'IN' THEN 'Asia' WHEN 'ZA' THEN 'Africa' WHEN 'AU' THEN 'Oceania'
+          WHEN 'MO' THEN 'Asia' ELSE 'Other' END AS continent
+        FROM (SELECT n_name, ['US', 'BR', 'FR', 'IN', 'ZA', 'AU', 'MO', 'QQ']
+          [n_nationkey % 8 + 1] AS code FROM nation)""",
     "documents_json": """SELECT '{"location_key":"' || location_key || '","country_name":"'
         || country_name || '","days_reported":' || days_reported
         || coalesce(',"population":' || population, '')
@@ -809,8 +830,8 @@ BODIES = {
         FROM cases WHERE length(trim(location_key)) = 2 GROUP BY trim(location_key)""",
     "preview_rows": "SELECT 'preview' AS result, least(count(*), 500) AS rows FROM cases",
     "explored_regions": """SELECT * FROM regional_sum
-        WHERE contains(lower(location_key), '_hi_f') OR contains(lower(region_name), '_hi_f')
-           OR contains(lower(coalesce(parent_country, '')), '_hi_f')""",
+        WHERE contains(lower(location_key), '_high_f') OR contains(lower(region_name), '_high_f')
+           OR contains(lower(coalesce(parent_country, '')), '_high_f')""",
     "key_line_counts": """SELECT trim(location_key) AS location_key, count(*) AS rows
         FROM cases WHERE length(trim(location_key)) = 2 GROUP BY 1""",
     "empty_metric": """SELECT 'country_summary' AS result, count(*) AS rows FROM country_sum
@@ -825,5 +846,7 @@ PIECES["selected_range"] = _selected(
     "AND date >= DATE '1996-01-01' AND date < DATE '2001-01-01'"
 )
 BODIES["filtered_series_view"] = _running(_resampled("month", "selected_range"))
+for _variant in ("raw", "estimated"):
+    BODIES[f"documents_roundtrip_{_variant}"] = BODIES[f"country_summary_{_variant}"]
 
 ORACLES = {name: _twin(body) for name, body in BODIES.items()}

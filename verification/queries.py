@@ -283,7 +283,7 @@ def hospitalization_summary_raw(spark, d):
 
 def _overrides(spark, d):
     """Supplied totals for the nations of region 1; recoveries known only for some."""
-    key = F.lpad(F.col("n_nationkey").cast("string"), 2, "0")
+    key = F.expr(testbed.place_key("n_nationkey"))
     number = F.col("n_nationkey")
     return (
         testbed.table(spark, d, "nation")
@@ -707,7 +707,7 @@ def threshold_filter(spark, d):
 
 @query
 def search_any_column(spark, d):
-    return explore.search_anywhere(summaries.regional_summary(_regional(spark, d)), "_hi_f")
+    return explore.search_anywhere(summaries.regional_summary(_regional(spark, d)), "_high_f")
 
 
 @query
@@ -780,6 +780,63 @@ def documents_roundtrip(spark, d):
     return readers.read_documents(spark, base, "country_summary")
 
 
+@query
+def documents_roundtrip_raw(spark, d):
+    base = _scratch(spark, "documents")
+    raw = unclean.raw_country_summary(_raw_days(spark, d))
+    sinks.write_documents(raw, base, "country_summary")
+    return readers.read_documents(spark, base, "country_summary")
+
+
+@query
+def documents_roundtrip_estimated(spark, d):
+    """The estimated country summary off a stored collection, every column."""
+    base = _scratch(spark, "documents")
+    sinks.write_documents(country_summary_estimated(spark, d), base, "country_summary")
+    return readers.read_documents(spark, base, "country_summary")
+
+
+@query
+def all_documents_counts(spark, d):
+    """Collections of several results written together, counted as they are read back."""
+    base = _scratch(spark, "documents")
+    results = {
+        "country_summary": _country_summary(spark, d),
+        "vaccination_summary": _vaccination(spark, d),
+    }
+    sinks.write_all_documents(results, base)
+    return quality.row_counts(
+        {name: readers.read_documents(spark, base, name) for name in results}
+    )
+
+
+@query
+def dedupe_default_order(spark, d):
+    """One report per place and day without a given order: the least by its columns."""
+    cases = testbed.cases(spark, d).select("date", "location_key", "new_confirmed", "src_id")
+    return cleaning.dedupe(cleaning.drop_missing_keys(cases), ["date", "location_key"])
+
+
+@query
+def repeated_dimension_keys(spark, d):
+    """A dimension with several rows a key: facts are not multiplied."""
+    customers = testbed.table(spark, d, "customer").selectExpr(
+        f"{testbed.place_key('c_nationkey')} AS location_key", "c_mktsegment", "c_custkey"
+    )
+    cases = testbed.cases(spark, d).select("src_id", "location_key")
+    return lookups.lookup(cases, customers, "location_key")
+
+
+@query
+def built_in_continents(spark, d):
+    """The built-in continent table over country codes dealt to the nations."""
+    codes = F.array(*[F.lit(c) for c in ["US", "BR", "FR", "IN", "ZA", "AU", "MO", "QQ"]])
+    nations = testbed.table(spark, d, "nation").select(
+        "n_name", F.get(codes, F.col("n_nationkey") % 8).alias("location_key")
+    )
+    return lookups.with_continent(nations, lookups.continent_table(spark))
+
+
 @query
 def documents_json(spark, d):
     """Documents as text, null fields left out."""
@@ -847,7 +904,7 @@ def preview_rows(spark, d):
 @query
 def explored_regions(spark, d):
     regions = summaries.regional_summary(_regional(spark, d))
-    return views.explore(regions, "_HI_F", sort_by="total_confirmed")
+    return views.explore(regions, "_HIGH_F", sort_by="total_confirmed")
 
 
 @query
