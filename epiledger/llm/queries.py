@@ -19,7 +19,7 @@ from epiledger.llm.sharding import shard_by_size
 from epiledger.llm.simhash import near_duplicates
 from epiledger.llm.urlrules import judge_urls
 from epiledger.llm.warc import captures, read_records, write_archives
-from epiledger.sources.shared import shared_folder
+from epiledger.sources.shared import as_table, shared_folder
 
 SHARDS = 24
 MIN_SITES = 10
@@ -84,7 +84,7 @@ def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write_archives(read(spark, sf_dir, "pages"), folder)
-    found = captures(read_records(spark, folder, payloads=False))
+    found = captures(as_table(read_records(spark, folder, payloads=False), "warc-records"))
     page_id = lambda c: F.regexp_extract(F.col(c), "page-id: (-?[0-9]+)", 1).try_cast("bigint")
     return found.select(
         page_id("metadata.fields").alias("page_id"),
