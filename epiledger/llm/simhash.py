@@ -218,27 +218,47 @@ def with_text_prints(
     )
 
 
-def met_in_segments(nodes: DataFrame) -> DataFrame:
-    """Pairs (``a``, ``b``), a < b, of nodes that agree in a segment of ``of_words`` but for one bit.
-
-    Values one bit apart have different parity, so only odd ones look up the ball around them;
-    even ones look up themselves.  That halves the lookups and loses no pair.
-    """
+def _segments() -> list[Column]:
+    """The segments of ``of_words``, each with its number in front."""
     mask = F.lit((1 << SEGMENT_BITS) - 1)
-    own, looked_up = [], []
+    keys = []
     for s in range(WORD_BITS // SEGMENT_BITS):
         lane, place = divmod(s * SEGMENT_BITS, 64)
         segment = F.shiftrightunsigned(F.col("of_words")[lane], place).bitwiseAND(mask)
-        key = segment.bitwiseOR(F.lit(s << SEGMENT_BITS))
-        own.append(key)
-        odd = F.bit_count(segment) % 2 == 1
-        looked_up.append(F.when(odd, _ball(key, SEGMENT_BITS, 1)).otherwise(F.array(key)))
-    table = nodes.select(F.explode(F.array(*own)).alias("key"), F.col("node").alias("b"))
-    probes = nodes.select(F.explode(F.flatten(F.array(*looked_up))).alias("key"), F.col("node").alias("a"))
-    return (
-        probes.join(table, "key").where("a <> b")
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        keys.append(segment.bitwiseOR(F.lit(s << SEGMENT_BITS)))
+    return keys
+
+
+def met_at_pivots(nodes: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``), a < b, of each node with the least and greatest that share a segment."""
+    own = nodes.select(F.explode(F.array(*_segments())).alias("key"), "node")
+    pivots = own.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    ends = own.join(pivots, "key").select(
+        F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("node").alias("b")),
+                          F.struct(F.col("node").alias("a"), F.col("high").alias("b")))).alias("p")
     )
+    return ends.select("p.*").where("a < b").distinct()
+
+
+def met_in_segments(nodes: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``), a < b, of nodes that agree in a segment of ``of_words`` but for one bit.
+
+    Nodes of one ``label`` are connected already and do not meet.  Values one bit apart have
+    different parity, so only odd ones look up the ball around them; even ones look up
+    themselves.  That halves the lookups and loses no pair.
+    """
+    own = _segments()
+    in_segment = F.lit((1 << SEGMENT_BITS) - 1)
+    looked_up = [
+        F.when(F.bit_count(key.bitwiseAND(in_segment)) % 2 == 1, _ball(key, SEGMENT_BITS, 1)).otherwise(F.array(key))
+        for key in own
+    ]
+    table = nodes.select(F.explode(F.array(*own)).alias("key"), F.col("node").alias("b"), F.col("label").alias("of_b"))
+    probes = nodes.select(
+        F.explode(F.flatten(F.array(*looked_up))).alias("key"), F.col("node").alias("a"), F.col("label").alias("of_a")
+    )
+    met = probes.join(table, (probes.key == table.key) & (F.col("of_a") != F.col("of_b")))
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def _apart(a: str, b: str) -> Column:
@@ -247,13 +267,13 @@ def _apart(a: str, b: str) -> Column:
 
 
 def shingle_distance(similarity: float) -> int:
-    """The bits that texts of that similarity may differ in, with 1.5 standard deviations added.
+    """The bits that texts of that similarity may differ in, with 3 standard deviations added.
 
     Sets with Jaccard similarity j have a cosine of about 2j / (1 + j), and a bit differs with the
     probability angle / pi.
     """
     p = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    return math.ceil(SHINGLE_BITS * p + 1.5 * math.sqrt(SHINGLE_BITS * p * (1 - p)))
+    return math.ceil(SHINGLE_BITS * p + 3 * math.sqrt(SHINGLE_BITS * p * (1 - p)))
 
 
 def similar_texts(
@@ -273,6 +293,10 @@ def similar_texts(
     and that of a 512-bit fingerprint of the shingles :func:`shingle_distance`.  Documents
     connected by links form a component; ``component_id`` is its smallest id.
 
+    A large group of near copies would meet in as many pairs as its square.  So nodes are first
+    compared with two pivots of each segment value; the others meet only across the components
+    this gives, which loses no link between components.
+
     Texts with equal fingerprints, copies above all, are one node and never meet as pairs.  Null
     and empty texts have no words and form one component.  Rows with null ids are kept; a
     component of null ids alone has a null ``component_id``.  Repeated rows get equal results.
@@ -285,19 +309,24 @@ def similar_texts(
         .withColumn("node", F.monotonically_increasing_id()),
         "similar-nodes",
     )
-    met = met_in_segments(nodes)
-    for end in ("a", "b"):
-        met = met.join(nodes.select(F.col("node").alias(end), *[F.col(p).alias(f"{end}_{p}") for p in prints]), end)
-    links = as_table(
-        met.where(_apart("a_of_words", "b_of_words") <= word_distance)
-        .where(_apart("a_of_shingles", "b_of_shingles") <= shingle_distance(similarity))
-        .select("a", "b"),
-        "similar-links",
-    )
-    labels = components(links).withColumnRenamed("node", "linked")
-    named = nodes.join(labels, nodes.node == labels.linked, "left").select(
-        *prints, "least", F.coalesce("label", "node").alias("label")
-    )
+    def verified(met: DataFrame, name: str) -> DataFrame:
+        for end in ("a", "b"):
+            met = met.join(nodes.select(F.col("node").alias(end), *[F.col(p).alias(f"{end}_{p}") for p in prints]), end)
+        near = (_apart("a_of_words", "b_of_words") <= word_distance) & (
+            _apart("a_of_shingles", "b_of_shingles") <= shingle_distance(similarity)
+        )
+        return as_table(met.where(near).select("a", "b"), name)
+
+    def labelled(links: DataFrame) -> DataFrame:
+        labels = components(links).withColumnRenamed("node", "linked")
+        return nodes.join(labels, nodes.node == labels.linked, "left").select(
+            *nodes.columns, F.coalesce("label", "node").alias("label")
+        )
+
+    stars = verified(met_at_pivots(nodes), "similar-stars")
+    partly = as_table(labelled(stars).select("node", "of_words", "label"), "similar-partly")
+    links = verified(met_in_segments(partly), "similar-links")
+    named = labelled(stars.unionByName(links))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     named = as_table(named.join(least, "label").select(*prints, "label", "component_id"), "similar-classes")
     return tagged.join(named, prints).select("id", "row_key", "label", "component_id")

@@ -24,7 +24,7 @@ from epiledger.llm.lines import remove_boilerplate
 from epiledger.llm.packing import pack, pack_lengths
 from epiledger.llm.quality import judge
 from epiledger.llm.sharding import longest_first, shard_by_size
-from epiledger.llm.simhash import near_duplicates, near_links, simhash
+from epiledger.llm.simhash import met_in_segments, near_duplicates, near_links, simhash, similar_texts
 from epiledger.llm.urlrules import judge_urls
 from epiledger.llm.warc import captures, read_records, write_archives
 
@@ -65,7 +65,7 @@ def test_all_take_an_empty_table(spark, docs):
     for found in (
         shard_by_size(none), score_texts(none, F.lit(False)), judge(none), pack(none, TOKENIZER),
         identify(none, learn(none, F.lit(True))), decontaminate(none, bench), remove_boilerplate(none),
-        near_duplicates(none), judge_urls(pages, rules),
+        near_duplicates(none), similar_texts(none), judge_urls(pages, rules),
     ):
         assert found.count() == 0
     for _, stage in corpus_pipeline.STAGES[:3]:
@@ -386,3 +386,44 @@ def test_near_duplicates_equal_brute_force(spark):
 def test_texts_without_words_are_linked(docs):
     found = near_duplicates(docs).where("fingerprint = 0").collect()
     assert {(r.id, r.component_id) for r in found} == {(4, 4), (5, 4), (None, 4)}
+
+
+def test_segments_meet_but_for_one_bit(spark):
+    rng = np.random.default_rng(7)
+    base = rng.integers(-(1 << 63), 1 << 63, (12, 4))
+    rows = []
+    for k in range(120):
+        bits = np.zeros(256, np.uint8)
+        bits[rng.choice(256, rng.integers(0, 24), replace=False)] = 1
+        rows.append((k, (base[k % 12] ^ np.packbits(bits).view(np.int64)).tolist(), k // 60))
+
+    def meet(x, y):
+        apart = np.array(x[1]).view(np.uint32) ^ np.array(y[1]).view(np.uint32)
+        return x[2] != y[2] and np.bitwise_count(apart).min() <= 1
+
+    df = spark.createDataFrame(rows, "node long, of_words array<long>, label long")
+    found = {(r.a, r.b) for r in met_in_segments(df).collect()}
+    assert found and found == {(x[0], y[0]) for x, y in itertools.combinations(rows, 2) if meet(x, y)}
+
+
+def test_similar_texts_link_edited_copies_only(spark):
+    rng = np.random.default_rng(11)
+    rows, other = [], 1000
+    for k in range(30):
+        words = [f"w{n}" for n in rng.integers(0, 3000, 200)]
+        few, many = list(words), list(words)
+        few[rng.integers(0, 200)] = "edited"
+        many[::6] = ["edited"] * len(many[::6])
+        rows += [(k, " ".join(words)), (k + 100, " ".join(few).upper()), (k + 200, " ".join(many)), (other + k, "")]
+    found = {r.id: r.component_id for r in similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(found) == len(rows)
+    for k in range(30):
+        assert (found[k], found[k + 100], found[k + 200], found[other + k]) == (k, k, k + 200, other)
+
+
+def test_similar_texts_edge_cases(docs):
+    found = Counter((r.id, r.component_id) for r in similar_texts(docs).collect())
+    assert found == Counter(
+        {(1, 1): 1, (2, 1): 2, (3, 3): 1, (4, 4): 1, (5, 4): 1, (None, 4): 1, (None, None): 1}
+        | {(k, k): 1 for k in range(6, 11)}
+    )
