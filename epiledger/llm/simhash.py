@@ -7,6 +7,7 @@ those, with longer fingerprints.
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
 
@@ -146,7 +147,7 @@ def near_duplicates(
     return tagged.join(named, "fingerprint")
 
 
-WORD_BITS, SHINGLE_BITS = 256, 512
+WORD_BITS, SHINGLE_BITS = 256, 2048
 SEGMENT_BITS = 32
 
 
@@ -169,8 +170,8 @@ def wide_print(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.packbits(2 * tally > len(hashes)).view(">u8").astype(np.uint64).view(np.int64)
 
 
-def text_prints(text: str | None, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of a text's distinct words and of its distinct shingles.
+def text_codes(text: str | None, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of a text's distinct words and of its distinct shingles, sorted.
 
     A text of fewer words is one shingle.
     """
@@ -182,13 +183,19 @@ def text_prints(text: str | None, words: int = 5) -> tuple[np.ndarray, np.ndarra
     with np.errstate(over="ignore"):
         for k in range(width):
             shingles = shingles * np.uint64(0x9E3779B97F4A7C15) + codes[k : k + len(shingles)]
-    return wide_print(np.unique(codes), WORD_BITS), wide_print(np.unique(shingles), SHINGLE_BITS)
+    return np.unique(codes), np.unique(shingles)
+
+
+def text_prints(text: str | None, words: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of a text's distinct words and of its distinct shingles."""
+    codes, shingles = text_codes(text, words)
+    return wide_print(codes, WORD_BITS), wide_print(shingles, SHINGLE_BITS)
 
 
 def with_text_prints(
     docs: DataFrame, words: int = 5, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The id, a row key and both fingerprints of each document, as arrays of longs."""
+    """The id, a row key, both fingerprints of each document as arrays of longs, and their MD5."""
     source = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"),
         row_key(id_column, text_column).alias("row_key"),
@@ -198,12 +205,13 @@ def with_text_prints(
         longs = pa.list_(pa.int64())
         for batch in batches:
             prints = [text_prints(t, words) for t in batch.column(1).to_pylist()]
+            keys = [hashlib.md5(of_words.tobytes() + of_shingles.tobytes()).digest() for of_words, of_shingles in prints]
             yield pa.record_batch(
                 [
-                    batch.column(0), batch.column(2),
+                    batch.column(0), batch.column(2), pa.array(keys, pa.binary()),
                     pa.array([p[0] for p in prints], longs), pa.array([p[1] for p in prints], longs),
                 ],
-                ["id", "row_key", "of_words", "of_shingles"],
+                ["id", "row_key", "print_key", "of_words", "of_shingles"],
             )
 
     longs = T.ArrayType(T.LongType())
@@ -211,7 +219,7 @@ def with_text_prints(
         tag,
         T.StructType(
             [
-                source.schema["id"], source.schema["row_key"],
+                source.schema["id"], source.schema["row_key"], T.StructField("print_key", T.BinaryType()),
                 T.StructField("of_words", longs), T.StructField("of_shingles", longs),
             ]
         ),
@@ -229,36 +237,99 @@ def _segments() -> list[Column]:
     return keys
 
 
-def met_at_pivots(nodes: DataFrame) -> DataFrame:
-    """Pairs (``a``, ``b``), a < b, of each node with the least and greatest that share a segment."""
+def _lookups() -> Column:
+    """What a node looks up, over all segments: ``key``, and ``same`` where that is its own value.
+
+    Values one bit apart have different parity, so only odd ones look up the ball around them;
+    even ones look up themselves.  That halves the lookups and loses no pair.
+    """
+    in_segment = F.lit((1 << SEGMENT_BITS) - 1)
+    return F.flatten(
+        F.array(
+            *[
+                F.transform(
+                    F.when(
+                        F.bit_count(own.bitwiseAND(in_segment)) % 2 == 1, _ball(own, SEGMENT_BITS, 1)
+                    ).otherwise(F.array(own)),
+                    lambda key, own=own: F.struct(key.alias("key"), (key == own).alias("same")),
+                )
+                for own in _segments()
+            ]
+        )
+    )
+
+
+def with_company(nodes: DataFrame) -> DataFrame:
+    """The ``node`` of those that meet any other in a segment, found without building the pairs."""
     own = nodes.select(F.explode(F.array(*_segments())).alias("key"), "node")
-    pivots = own.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    ends = own.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    probes = nodes.select(F.explode(_lookups()).alias("k"), F.col("node").alias("a")).select("k.key", "a")
+    matched = as_table(
+        probes.join(ends, "key").where("low <> a OR high <> a").select("key", "a"), "similar-matched"
+    )
+    looked_up = own.join(matched.select("key").distinct(), "key", "left_semi")
+    return matched.select(F.col("a").alias("node")).unionByName(looked_up.select("node")).distinct()
+
+
+def with_shared_shingles(texts: DataFrame, words: int = 5) -> DataFrame:
+    """Of each ``node`` with a ``text``: ``n_shingles``, and ``n_shared`` that other nodes have too.
+
+    Equal hashes of different shingles can only raise ``n_shared``.
+    """
+
+    def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = text_codes(text, words)[1].view(np.int64)
+                yield pa.record_batch([pa.array(np.full(len(found), node, np.int64)), pa.array(found)], ["node", "code"])
+
+    table = texts.select("node", "text").mapInArrow(codes, "node long, code long")
+    table = as_table(texts.select("node", "text").mapInArrow(codes, "node long, code long"), "similar-shingles")
+    own = (
+        table.groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+        .where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("n_own"))
+    )
+    return (
+        table.groupBy("node").agg(F.count(F.lit(1)).alias("n_shingles")).join(own, "node", "left")
+        .select("node", "n_shingles", (F.col("n_shingles") - F.coalesce("n_own", F.lit(0))).alias("n_shared"))
+    )
+
+
+def met_at_pivots(nodes: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``), a < b, of each node with two others that share a segment.
+
+    One is the node with the greatest share of shingles that others have too: of edited copies
+    the least edited, which is nearest to most.  The other is the node with the greatest number.
+    """
+    edited = 1 - F.col("n_shared") / F.col("n_shingles")
+    own = nodes.select(F.explode(F.array(*_segments())).alias("key"), "node", edited.alias("edited"))
+    pivots = own.groupBy("key").agg(F.min(F.struct("edited", "node")).alias("hub"), F.max("node").alias("last"))
     ends = own.join(pivots, "key").select(
-        F.explode(F.array(F.struct(F.col("low").alias("a"), F.col("node").alias("b")),
-                          F.struct(F.col("node").alias("a"), F.col("high").alias("b")))).alias("p")
+        F.explode(F.array("hub.node", "last")).alias("a"), F.col("node").alias("b")
     )
-    return ends.select("p.*").where("a < b").distinct()
+    return ends.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def met_in_segments(nodes: DataFrame) -> DataFrame:
+def met_in_segments(nodes: DataFrame, similarity: float | None = None) -> DataFrame:
     """Pairs (``a``, ``b``), a < b, of nodes that agree in a segment of ``of_words`` but for one bit.
 
-    Nodes of one ``label`` are connected already and do not meet.  Values one bit apart have
-    different parity, so only odd ones look up the ball around them; even ones look up
-    themselves.  That halves the lookups and loses no pair.
+    Nodes of one ``label`` are connected already and do not meet.  With a ``similarity``, nor
+    do nodes whose ``n_shingles`` and ``n_shared`` rule out that Jaccard similarity: what they
+    have in common is at most the smaller number of shared shingles.
     """
-    own = _segments()
-    in_segment = F.lit((1 << SEGMENT_BITS) - 1)
-    looked_up = [
-        F.when(F.bit_count(key.bitwiseAND(in_segment)) % 2 == 1, _ball(key, SEGMENT_BITS, 1)).otherwise(F.array(key))
-        for key in own
-    ]
-    table = nodes.select(F.explode(F.array(*own)).alias("key"), F.col("node").alias("b"), F.col("label").alias("of_b"))
-    probes = nodes.select(
-        F.explode(F.flatten(F.array(*looked_up))).alias("key"), F.col("node").alias("a"), F.col("label").alias("of_a")
-    )
-    met = probes.join(table, (probes.key == table.key) & (F.col("of_a") != F.col("of_b")))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    carried = ["node", "label"] + ([] if similarity is None else ["n_shingles", "n_shared"])
+    table = nodes.select(F.explode(F.array(*_segments())).alias("key"), F.struct(*carried).alias("b"))
+    probes = nodes.select(F.explode(_lookups()).alias("k"), F.struct(*carried).alias("a")).select("k.*", "a")
+    once = ~F.col("same") | (F.col("a.node") < F.col("b.node"))
+    may_link = (F.col("a.label") != F.col("b.label")) & once
+    if similarity is not None:
+        common = F.least("a.n_shared", "b.n_shared")
+        both = F.col("a.n_shingles") + F.col("b.n_shingles")
+        may_link &= common * (1 + similarity) >= both * similarity - 1e-6
+    met = probes.join(table, (probes.key == table.key) & may_link)
+    return met.select(
+        F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")
+    ).distinct()
 
 
 def _apart(a: str, b: str) -> Column:
@@ -290,12 +361,15 @@ def similar_texts(
     word changes ``words`` shingles but one word of the set, so candidates are looked up by a
     fingerprint of the distinct words: 256 bits in eight segments, each with the Hamming ball of
     radius 1.  Of the pairs met, the complete distance of that fingerprint may be ``word_distance``
-    and that of a 512-bit fingerprint of the shingles :func:`shingle_distance`.  Documents
+    and that of a 2048-bit fingerprint of the shingles :func:`shingle_distance`.  Documents
     connected by links form a component; ``component_id`` is its smallest id.
 
-    A large group of near copies would meet in as many pairs as its square.  So nodes are first
-    compared with two pivots of each segment value; the others meet only across the components
-    this gives, which loses no link between components.
+    A large group of near copies would meet in as many pairs as its square.  Three steps lessen
+    that, none of which loses a pair of the similarity.  Nodes that meet another are found without
+    building pairs, and for these is counted how many of their shingles any other such node has; too
+    few rule out every partner.  The rest are compared with two pivots of each segment value.
+    At last they meet only across the components this gives, and only where the shared
+    shingles of both allow the similarity.
 
     Texts with equal fingerprints, copies above all, are one node and never meet as pairs.  Null
     and empty texts have no words and form one component.  Rows with null ids are kept; a
@@ -305,10 +379,20 @@ def similar_texts(
     prints = ["of_words", "of_shingles"]
     tagged = as_table(with_text_prints(docs, words, id_column, text_column), "similar-prints")
     nodes = as_table(
-        tagged.groupBy(*prints).agg(F.min("id").alias("least"))
-        .withColumn("node", F.monotonically_increasing_id()),
+        tagged.groupBy("print_key").agg(
+            F.min("id").alias("least"), F.min("row_key").alias("row_key"), *[F.any_value(p).alias(p) for p in prints]
+        ).withColumn("node", F.monotonically_increasing_id()),
         "similar-nodes",
     )
+    company = nodes.select("node", "row_key").join(with_company(nodes.select("node", "of_words")), "node")
+    texts = docs.select(row_key(id_column, text_column).alias("row_key"), F.col(text_column).alias("text"))
+    counted = with_shared_shingles(texts.join(company, "row_key").dropDuplicates(["node"]), words)
+    able = as_table(
+        counted.where(F.col("n_shared") >= similarity * F.col("n_shingles") - 1e-6)
+        .join(nodes.select("node", "of_words"), "node"),
+        "similar-able",
+    )
+
     def verified(met: DataFrame, name: str) -> DataFrame:
         for end in ("a", "b"):
             met = met.join(nodes.select(F.col("node").alias(end), *[F.col(p).alias(f"{end}_{p}") for p in prints]), end)
@@ -317,16 +401,16 @@ def similar_texts(
         )
         return as_table(met.where(near).select("a", "b"), name)
 
-    def labelled(links: DataFrame) -> DataFrame:
+    def labelled(some: DataFrame, links: DataFrame) -> DataFrame:
         labels = components(links).withColumnRenamed("node", "linked")
-        return nodes.join(labels, nodes.node == labels.linked, "left").select(
-            *nodes.columns, F.coalesce("label", "node").alias("label")
+        return some.join(labels, some.node == labels.linked, "left").select(
+            *some.columns, F.coalesce("label", "node").alias("label")
         )
 
-    stars = verified(met_at_pivots(nodes), "similar-stars")
-    partly = as_table(labelled(stars).select("node", "of_words", "label"), "similar-partly")
-    links = verified(met_in_segments(partly), "similar-links")
-    named = labelled(stars.unionByName(links))
+    stars = verified(met_at_pivots(able), "similar-stars")
+    partly = as_table(labelled(able, stars), "similar-partly")
+    links = verified(met_in_segments(partly, similarity), "similar-links")
+    named = labelled(nodes.select("node", "print_key", "least"), stars.unionByName(links))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = as_table(named.join(least, "label").select(*prints, "label", "component_id"), "similar-classes")
-    return tagged.join(named, prints).select("id", "row_key", "label", "component_id")
+    named = as_table(named.join(least, "label").select("print_key", "label", "component_id"), "similar-classes")
+    return tagged.select("id", "row_key", "print_key").join(named, "print_key").select("id", "row_key", "label", "component_id")
