@@ -427,3 +427,20 @@ def test_similar_texts_edge_cases(docs):
         {(1, 1): 1, (2, 1): 2, (3, 3): 1, (4, 4): 1, (5, 4): 1, (None, 4): 1, (None, None): 1}
         | {(k, k): 1 for k in range(6, 11)}
     )
+
+
+def test_similar_texts_find_cut_and_extended_copies(spark):
+    rng = np.random.default_rng(3)
+    rows, pairs = [], []
+    for k in range(150):
+        words = [f"w{n}" for n in rng.integers(0, 3000, 200)]
+        n = 200 - k % 3 * 16  # of 196 shingles all, 180 or 164 stay: 0.8 or more
+        more = [*[f"h{n}" for n in rng.integers(0, 3000, 40)], *words]
+        changed = {"cut": words[:n], "header cut": words[200 - n :], "extended": more}
+        for j, (kind, other) in enumerate(changed.items(), 1):
+            rows += [(10 * k, " ".join(words)), (10 * k + j, " ".join(other))]
+            if kind != "extended" or 196 >= 0.8 * (len(other) - 4):
+                pairs.append((10 * k, 10 * k + j))
+    found = {r.id: r.component_id for r in similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert len(pairs) == 450
+    assert sum(found[a] == found[b] for a, b in pairs) == 450
