@@ -444,3 +444,15 @@ def test_similar_texts_find_cut_and_extended_copies(spark):
     found = {r.id: r.component_id for r in similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert len(pairs) == 450
     assert sum(found[a] == found[b] for a, b in pairs) == 450
+
+
+def test_similar_texts_do_not_link_below_the_similarity(spark):
+    rng = np.random.default_rng(4)
+    rows = []
+    for k in range(100):
+        words = [f"w{n}" for n in rng.integers(0, 3000, 204)]
+        rows += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(words[:163]))]  # 159 of 200: 0.795
+        rows += [(10 * k + 2, " ".join([*words[:150], "x", *words[151:]]))]
+    found = {r.id: r.component_id for r in similar_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k in range(0, 1000, 10):
+        assert (found[k], found[k + 1], found[k + 2]) == (k, k + 1, k)
