@@ -136,6 +136,17 @@ def learn(
     return Languages(names, counts)
 
 
+def lettered(docs: DataFrame, text_column: str = "text") -> DataFrame:
+    """The documents whose text has a letter, by the same rule as in :func:`grams`."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text_column)).to_pylist()
+            yield batch.filter(pa.array([bool(t and _other.sub("", t)) for t in texts], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def identify(
     docs: DataFrame,
     languages: Languages,

@@ -77,3 +77,15 @@ def test_stages_keep_columns_and_take_nulls(spark):
             assert kept == Counter({1: 1, 3: 1, None: 1})
         if name in ("boilerplate", "benchmarks"):
             assert sum(kept.values()) == len(rows)
+
+
+def test_language_stage_keeps_texts_of_an_unlabelled_table(spark):
+    rows = [
+        (1, "The cat sat", None, "a", 1, None, None), (1, "The cat sat", None, "a", 1, None, None),
+        (2, "123 _ !!", None, "a", 1, None, None), (3, "", None, None, None, None, None),
+        (4, None, None, None, None, None, None), (None, "猫", None, None, None, None, None),
+    ]
+    docs = spark.createDataFrame(rows, DDL)
+    found = corpus_pipeline.language(spark, docs, SMALL)
+    assert found.columns == docs.columns
+    assert Counter(r.doc_id for r in found.collect()) == Counter({1: 2, None: 1})
