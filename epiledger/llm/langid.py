@@ -96,6 +96,17 @@ class Languages:
         return found, np.clip(score, 0.0, 1.0)
 
 
+def rows_of_each(sizes: list[int], total: int) -> float:
+    """The most rows to take of each group so that all take about ``total``, but 20 or more."""
+    most = float(max(sizes, default=0))
+    for k, n in enumerate(sorted(sizes)):
+        if n * (len(sizes) - k) > total:
+            most = max(total / (len(sizes) - k), 20.0)
+            break
+        total -= n
+    return most
+
+
 def learn(
     docs: DataFrame,
     usable: Column,
@@ -106,13 +117,23 @@ def learn(
 ) -> Languages:
     """Trigram counts by language, from about ``fit_rows`` of the usable labelled rows.
 
-    Rows are chosen by the hash of their id, all of them where there are no more than
-    ``fit_rows``.  Rows without text or language are passed over.
+    All rows where there are no more than ``fit_rows``; else up to a number of each language, the same
+    for all and as great as ``fit_rows`` allows, so a rare language is learned from all its rows.
+    Rows are chosen by the hash of their id and text.  Rows without text or language are
+    passed over.
     """
-    labelled = docs.where(usable & F.col(lang_column).isNotNull())
-    share = fit_rows / max(labelled.select(id_column).count(), 1)
-    chosen = F.pmod(F.xxhash64(id_column), F.lit(1 << 20)) < int(min(share, 1) * (1 << 20))
-    rows = labelled.where(chosen & F.col(text_column).isNotNull()).select(text_column, lang_column)
+    labelled = docs.where(usable & F.col(lang_column).isNotNull() & F.col(text_column).isNotNull())
+    sizes = dict(labelled.groupBy(lang_column).agg(F.count(F.lit(1))).collect())
+    most = rows_of_each(list(sizes.values()), fit_rows)
+    shares = docs.sparkSession.createDataFrame(
+        [(lang, min(most / n, 1.0)) for lang, n in sizes.items()],
+        T.StructType([T.StructField("_of", T.StringType()), T.StructField("_share", T.DoubleType())]),
+    )
+    chosen = F.pmod(F.xxhash64(id_column, text_column), F.lit(1 << 52)) < F.col("_share") * (1 << 52)
+    rows = (
+        labelled.select(id_column, text_column, lang_column)
+        .join(F.broadcast(shares), F.col(lang_column) == F.col("_of")).where(chosen).select(text_column, lang_column)
+    )
 
     def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}

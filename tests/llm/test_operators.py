@@ -199,6 +199,15 @@ def test_held_out_accuracy(spark):
 # --- urls --------------------------------------------------------------------
 
 
+def test_rare_languages_are_learned_from_large_tables(spark):
+    rows = [(k, f"some common words number {k}", "en") for k in range(4000)]
+    rows += [(k, f"autant de mots {k}", "fr") for k in range(5000, 9000)] + [(k, f"harvinaiset sanat {k}", "fi") for k in range(9000, 9003)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = learn(df, F.lit(True), fit_rows=40)
+    assert learned.names == ["en", "fi", "fr"]
+    assert learned.predict(["harvinaiset sanat"])[0] == ["fi"]
+
+
 def test_url_verdicts_equal_all_rules(spark):
     urls = [
         None, "", "no scheme", "http://a.org", "http://A.ORG/x", "https://example.org/es/1", "http://w.example.org/en/1?q",
