@@ -23,6 +23,7 @@ CLASSES = 1 + OWN + SHARED
 ROUNDS = 4
 STRETCH = 1024
 BLOCK_BYTES = 16 << 20
+WEIGHT = 50  # occurrences that the emission by class counts as
 LN10 = math.log(10)
 
 
@@ -132,42 +133,6 @@ class Lexicon:
         return np.where(classes > OWN, shared, 0.0)
 
 
-def _coded(blocks: DataFrame, vocabulary: DataFrame, lexicon: Lexicon) -> DataFrame:
-    """Documents as class sequences, with what does not depend on the states already summed."""
-    wanted = blocks.select(F.col("block").alias("of"), F.posexplode("words").alias("place", "word"))
-    found = wanted.join(vocabulary, "word").select("of", "place", "c")
-    id_field = T.StructField("id", blocks.schema["ids"].dataType.elementType)
-    schema = T.StructType(
-        [
-            id_field, T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
-            T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),
-            T.StructField("word_score", T.DoubleType()), T.StructField("classes", T.BinaryType()),
-        ]
-    )
-
-    def code(left: pa.Table, right: pa.Table) -> pa.Table:
-        words = left.column("words")[0].as_py() if left.num_rows else []
-        counts = np.zeros(len(words), np.int64)
-        counts[right.column("place").to_numpy()] = right.column("c").to_numpy()
-        classes = lexicon.classes(words)
-        base, within = lexicon.base(counts), lexicon.within(classes, counts)
-        end = float(lexicon.base(np.array([lexicon.train_docs]))[0])
-        lengths = np.array(left.column("lengths")[0].as_py(), np.int64)
-        places = _unsqueezed(left.column("places")[0].as_py(), int(lengths.sum()))
-        rows = defaultdict(list)
-        for stop, n in zip(np.cumsum(lengths).tolist(), lengths.tolist(), strict=True):
-            own = places[stop - n : stop]
-            rows["n_known"].append(int((counts[own] > 0).sum()) + (lexicon.train_docs > 0))
-            rows["base_score"].append(float(base[own].sum()) + end)
-            rows["word_score"].append(float(within[own].sum()))
-            rows["classes"].append(np.append(classes[own], 0).astype("<u2").tobytes())
-        head = [left.column(c).combine_chunks().values for c in ("ids", "held")]
-        body = [pa.array(lengths + 1), *(pa.array(rows[f.name]) for f in schema.fields[3:])]
-        return pa.table([*head, *body], names=schema.names)
-
-    return blocks.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(code, schema)
-
-
 class Model:
     """Start, transition and emission probabilities of the hidden states."""
 
@@ -192,6 +157,14 @@ class Model:
         start = counts[:, -1] + 1.0 / states
         return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
+    def over_words(self, learned: WordCounts | None, backoff: np.ndarray, n: np.ndarray) -> Model:
+        """The model with emissions of single words, the end last; ``backoff``: those by class."""
+        emit = backoff
+        if learned is not None:
+            n = np.concatenate([n, learned.ends[None]]).T
+            emit = (n + WEIGHT * backoff) / (learned.totals[:, None] + WEIGHT)
+        return Model(self.start, self.move, emit)
+
     def log10_likelihood(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Exact log10 probability of each sequence, by the scaled forward recursion.
 
@@ -251,41 +224,97 @@ class Model:
         counts[:, -1] += gamma[: len(sequences)].sum(0)
 
 
-def _sequences(column: pa.Array) -> list[np.ndarray]:
-    return [np.frombuffer(c, "<u2").astype(np.int64) for c in column.to_pylist()]
+class WordCounts:
+    """Expected emissions by state: of every training word in a table, of the end, of all together."""
+
+    def __init__(self, table: DataFrame, ends: np.ndarray, totals: np.ndarray):
+        self.table, self.ends, self.totals = table, ends, totals
 
 
-def baum_welch_round(coded: DataFrame, model: Model, lexicon: Lexicon) -> Model:
-    """One round: expected counts of all training documents, summed over partitions.
+def _with_counts(blocks: DataFrame, table: DataFrame):
+    """Blocks, each with what the table says of its words."""
+    wanted = blocks.select(F.col("block").alias("of"), F.posexplode("words").alias("place", "word"))
+    found = wanted.join(table, "word").drop("word")
+    return blocks.groupBy("block").cogroup(found.groupBy("of"))
+
+
+def _of_block(left: pa.Table, right: pa.Table, model: Model, learned: tuple | None, lexicon: Lexicon):
+    """A block's words, their training counts, classes, documents as places and the model over its words."""
+    words = left.column("words")[0].as_py()
+    counts, n = np.zeros(len(words), np.int64), np.zeros((len(words), len(model.start)))
+    places = right.column("place").to_numpy()
+    counts[places] = right.column("c").to_numpy()
+    if learned is not None:
+        flat = right.column("n").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        n[places] = flat.reshape(-1, n.shape[1])
+    classes = lexicon.classes(words)
+    backoff = model.emit[:, np.append(classes, 0)] * 10 ** np.append(lexicon.within(classes, counts), 0.0)
+    lengths = np.array(left.column("lengths")[0].as_py(), np.int64)
+    flat = _unsqueezed(left.column("places")[0].as_py(), int(lengths.sum())).astype(np.int64)
+    texts = np.split(flat, np.cumsum(lengths)[:-1])
+    ends = None if learned is None else WordCounts(None, *learned)
+    return words, counts, classes, texts, model.over_words(ends, backoff, n)
+
+
+def baum_welch_round(
+    blocks: DataFrame, vocabulary: DataFrame, model: Model, learned: WordCounts | None, lexicon: Lexicon
+) -> tuple[Model, WordCounts]:
+    """One round: expected counts of all training documents, by state and word, in a table.
 
     A training document longer than ``STRETCH`` tokens counts as stretches of that length, so
     the memory of a task is bounded; scoring is exact over whole texts.
     """
-    states, width = model.emit.shape[0], model.emit.shape[1] + model.emit.shape[0] + 1
-
-    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, waiting, size = np.zeros((states, width)), [], 0
-        for batch in batches:
-            for s in _sequences(batch.column(0)):
-                for at in range(0, len(s), STRETCH):
-                    waiting.append(s[at : at + STRETCH])
-                    size += len(waiting[-1])
-                if size >= 1 << 18:
-                    model.expected_counts(waiting, counts)
-                    waiting, size = [], 0
+    states = len(model.start)
+    known = None if learned is None else (learned.ends, learned.totals)
+
+    def expect(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table([pa.array([], f.type) for f in arrow], schema=arrow)
+        words, totals, classes, texts, over = _of_block(left, right, model, known, lexicon)
+        held = left.column("held")[0].as_py()
+        end, waiting, size = len(words), [], 0
+        counts = np.zeros((states, end + 1 + states + 1))
+        for text, out in zip(texts, held, strict=True):
+            if out:
+                continue
+            s = np.append(text, end)
+            waiting += [s[at : at + STRETCH] for at in range(0, len(s), STRETCH)]
+            size += len(s)
+            if size >= 1 << 18:
+                over.expected_counts(waiting, counts)
+                waiting, size = [], 0
         if waiting:
-            model.expected_counts(waiting, counts)
-        state, column = np.nonzero(counts)
-        yield pa.record_batch(
-            [pa.array(state.astype(np.int32)), pa.array(column.astype(np.int32)), pa.array(counts[state, column])],
-            ["state", "column", "n"],
+            over.expected_counts(waiting, counts)
+        seen = np.nonzero(counts[:, :end].any(0))[0]
+        rest = np.arange(end, counts.shape[1])
+        n = pa.array(list(counts[:, np.concatenate([seen, rest])].T), pa.list_(pa.float64()))
+        none = [None] * len(rest)
+        return pa.table(
+            [
+                pa.array([words[k] for k in seen] + none, pa.binary()),
+                pa.array([None] * len(seen) + list(range(len(rest))), pa.int32()),
+                pa.array(totals[seen].tolist() + none, pa.int64()), pa.array(classes[seen].tolist() + none, pa.int32()), n,
+            ],
+            schema=arrow,
         )
 
-    partial = coded.where("not held_out").select("classes").mapInArrow(expect, "state int, column int, n double")
-    sums = partial.groupBy("state", "column").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros((states, width))
-    counts[sums["state"].to_numpy(), sums["column"].to_numpy()] = sums["n"].to_numpy()
-    return Model.of_counts(counts, lexicon.class_tokens)
+    arrow = pa.schema(
+        [("word", pa.binary()), ("part", pa.int32()), ("c", pa.int64()), ("class", pa.int32()), ("n", pa.list_(pa.float64()))]
+    )
+    table = vocabulary if learned is None else learned.table
+    partial = _with_counts(blocks, table).applyInArrow(expect, "word binary, part int, c bigint, class int, n array<double>")
+    by_state = F.array(*[F.sum(F.col("n")[k]) for k in range(states)])
+    sums = as_table(
+        partial.groupBy("word", "part").agg(F.max("c").alias("c"), F.max("class").alias("class"), by_state.alias("n")),
+        "hmm-expected",
+    )
+    counts = np.zeros((states, CLASSES + states + 1))
+    for r in sums.where("word is not null").groupBy("class").agg(by_state.alias("n")).collect():
+        counts[:, r["class"]] = r.n
+    for r in sums.where("word is null").collect():
+        counts[:, 0 if r.part == 0 else CLASSES + r.part - 1] = r.n
+    words = sums.where("word is not null").select("word", "c", "n")
+    return Model.of_counts(counts, lexicon.class_tokens), WordCounts(words, counts[:, 0], counts[:, :CLASSES].sum(1))
 
 
 def score_texts(
@@ -299,12 +328,13 @@ def score_texts(
     """Scores every document by a hidden Markov model learned from those not held out.
 
     ``held_out`` is a boolean column over ``docs``.  Tokens are words with A-Z lowered and one
-    end a document.  A state emits word classes: each of the ``OWN`` most frequent words has its own, other
-    words share one of ``SHARED`` by their last four bytes, and within a class words keep their
-    share of its training tokens, an unseen word that of one occurrence.  So the model has a
-    fixed size, while word counts, all of them, stay in a table of their own.  Each
-    Baum-Welch round sums expected counts over all training documents; the score is the exact
-    log10 probability of the whole text by the scaled forward recursion.
+    end a document.  A state emits words: each training word by its own expected count in the state, plus
+    ``WEIGHT`` occurrences spread by class, which is what rare and unseen words go by.  Each of
+    the ``OWN`` most frequent words is a class, other words share one of ``SHARED`` by their last four
+    bytes, and within a class words keep their share of its training tokens, an unseen word
+    that of one occurrence.  Counts by word, and by state and word, are tables that grow with the
+    vocabulary.  Each Baum-Welch round sums expected counts over all training documents; the score
+    is the exact log10 probability of the whole text by the scaled forward recursion.
 
     Blocks of some megabytes look their own vocabularies up in the count table, so neither the
     vocabulary nor a frequent word gathers in one task.
@@ -327,25 +357,36 @@ def score_texts(
     )
     train_docs = blocks.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     lexicon = Lexicon(vocabulary, train_docs)
-    coded = as_table(_coded(blocks, vocabulary, lexicon), "hmm-coded")
-    model = Model.first(lexicon.class_tokens, states)
+    model, learned = Model.first(lexicon.class_tokens, states), None
     for _ in range(rounds if train_docs else 0):
-        model = baum_welch_round(coded, model, lexicon)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for at in range(0, whole.num_rows, 2048):
-                batch = whole.slice(at, 2048)
-                total = model.log10_likelihood(_sequences(batch.column("classes")))
-                total += batch.column("word_score").to_numpy()
-                columns = [batch.column(c) for c in ("id", "held_out", "n_tokens", "n_known")]
-                tokens = pa.array(np.full(batch.num_rows, lexicon.train_tokens, np.int64))
-                columns += [tokens, batch.column("base_score"), pa.array(total)]
-                yield pa.record_batch(columns, names)
-
-    kept = coded.schema.fields
-    names = ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+        model, learned = baum_welch_round(blocks, vocabulary, model, learned, lexicon)
+    known = None if learned is None else (learned.ends, learned.totals)
+    id_field = T.StructField("id", blocks.schema["ids"].dataType.elementType)
     schema = T.StructType(
-        [*kept[:4], T.StructField("train_tokens", T.LongType()), kept[4], T.StructField("score", T.DoubleType())]
+        [
+            id_field, T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
+            T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()),
+            T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType()),
+        ]
     )
-    return coded.mapInArrow(score, schema)
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        words, counts, _, texts, over = _of_block(left, right, model, known, lexicon)
+        base = lexicon.base(counts)
+        end = float(lexicon.base(np.array([lexicon.train_docs]))[0])
+        total = [
+            over.log10_likelihood([np.append(t, len(words)) for t in texts[at : at + 2048]])
+            for at in range(0, len(texts), 2048)
+        ]
+        ids, held = (left.column(c).combine_chunks().flatten() for c in ("ids", "held"))
+        return pa.table(
+            [
+                ids, held, pa.array([len(t) + 1 for t in texts], pa.int64()),
+                pa.array([int((counts[t] > 0).sum()) + (lexicon.train_docs > 0) for t in texts], pa.int64()),
+                pa.array(np.full(len(texts), lexicon.train_tokens, np.int64)),
+                pa.array([float(base[t].sum()) + end for t in texts], pa.float64()), pa.array(np.concatenate(total)),
+            ],
+            names=schema.names,
+        )
+
+    return _with_counts(blocks, vocabulary if learned is None else learned.table).applyInArrow(score, schema)
