@@ -283,9 +283,9 @@ def test_states_learn_words_beyond_the_most_frequent(spark):
     rows = [(k, rows[0][1] * 2) for k in range(30)]
     for k in range(400):
         topic = "xy"[k % 2]
-        rows.append((100 + k, " ".join([*(f"{topic}{n}" for n in rng.integers(0, 20, 40)), *(["pend" if topic == "x" else "qend"] if k % 20 < 2 else [])])))
+        rows.append((100 + k, " ".join([*(f"{topic}{n}" for n in rng.integers(0, 20, 40)), *(["p_end" if topic == "x" else "q_end"] if k % 20 < 2 else [])])))
     context = {t: " ".join(f"{t}{n}" for n in range(20)) for t in "xy"}
-    rows += [(1000 + k, f"{context[t]} {w} {context[t]}") for k, (t, w) in enumerate(itertools.product("xy", ["pend", "qend"]))]
+    rows += [(1000 + k, f"{context[t]} {w} {context[t]}") for k, (t, w) in enumerate(itertools.product("xy", ["p_end", "q_end"]))]
     df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
     found = {r.id: r.score for r in score_texts(df, F.col("doc_id") >= 1000).where("id >= 1000").collect()}
     assert found[1000] > found[1001] + 0.05 and found[1003] > found[1002] + 0.05
