@@ -15,6 +15,7 @@ from epiledger.llm.langid import identify, learn
 from epiledger.llm.lines import remove_boilerplate
 from epiledger.llm.packing import pack
 from epiledger.llm.quality import judge
+from epiledger.llm.secret_scan import ALLOWED, ENTROPY, SCALE, SHAPES, listed, scan_secrets
 from epiledger.llm.sharding import shard_by_size
 from epiledger.llm.simhash import near_duplicates
 from epiledger.llm.urlrules import judge_urls
@@ -104,17 +105,100 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of secrets in every document; see :func:`scan_secrets` for nulls, empty and long texts and ties."""
+    found = scan_secrets(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *[count(kind).alias(f"n_{kind}") for kind in SHAPES],
+        F.sha2(listed(F.col("base")), 256).alias("base_sha256"),
+        listed(F.col("found")).alias("spans"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_lm_scoring, op3_quality_rules, op4_language_id, op5_url_filters, op6_packing,
-        op7_decontamination, op8_line_dedup, op9_warc, op10_simhash,
+        op7_decontamination, op8_line_dedup, op9_warc, op10_simhash, op13_secret_scans,
     )
 }
 
 _URL_VALUES = ", ".join(str(r) for r in URL_RULES)
 
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _secrets_twin(width: int = 20) -> str:
+    """All windows of all candidates by counting anew, where the operator moves the counts along."""
+    kinds = {k: (p, g, n) for k, (p, g, n) in SHAPES.items()}
+    kinds |= {k: (e[2] % width, 0, width) for k, e in ENTROPY.items()}
+    lists = " UNION ALL ".join(
+        f"SELECT r, {_quoted(kind)} AS kind, {rank} AS rank, {least} AS least,"
+        f" regexp_extract_all(text, {_quoted(p)}) AS found, regexp_extract_all(text, {_quoted(p)}, {g}) AS sized,"
+        f" regexp_split_to_array(text, {_quoted(p)}) AS pieces FROM docs"
+        for rank, (kind, (p, g, least)) in enumerate(kinds.items())
+    )
+    needs = " OR ".join(
+        f"kind = {_quoted(k)} AND " + " AND ".join(f"regexp_matches(match, {_quoted(p)})" for p in e[3])
+        for k, e in ENTROPY.items()
+    )
+    # RE2 has no references to groups: a match of repeated groups is one that moves onto itself.
+    allow = " OR ".join(
+        f"regexp_matches(match, {_quoted(p)})" if "\\1" not in p else
+        "(" + " OR ".join(f"match = substr(repeat(left(match, {k}), CAST(length(match) / {k} + 1 AS INT)), 1, length(match))"
+                          f" AND length(match) % {k} = 0 AND length(match) > {k}" for k in range(1, 9)) + ")"
+        for p in ALLOWED
+    )
+    bits = " ".join(f"WHEN {_quoted(k)} THEN {e[4]}" for k, e in ENTROPY.items())
+    plain = ", ".join(_quoted(k) for k, e in ENTROPY.items() if not e[1])
+    counts = ", ".join(
+        f"count(*) FILTER (WHERE kind = {_quoted(k)})::BIGINT AS n_{k}" for k in SHAPES
+    )
+    shapes = ", ".join(_quoted(k) for k in SHAPES)
+    item = "kind || ':' || s || ':' || e"
+    return f"""
+        WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+        lists AS ({lists}),
+        places AS (SELECT *, unnest(range(1, len(found) + 1)) AS j FROM lists),
+        matches AS (
+            SELECT r, kind, rank, found[j] AS match,
+                   (list_sum([length(x) FOR x IN pieces[1:j]]) + coalesce(list_sum([length(x) FOR x IN found[1:j - 1]]), 0))::INT AS s
+            FROM places WHERE length(sized[j]) >= least),
+        likely AS (
+            SELECT row_number() OVER () AS c, r, kind, rank, s, CASE WHEN kind IN ({plain}) THEN lower(match) ELSE match END AS match
+            FROM matches WHERE ({needs}) AND NOT ({allow})),
+        windows AS (
+            SELECT *, unnest(range(0, length(match) - {width} + 1)) AS w FROM likely),
+        letters AS (
+            SELECT c, w, substr(match, w + k + 1, 1) AS letter, count(*) AS n
+            FROM windows, range({width}) AS step(k) GROUP BY ALL),
+        sums AS (SELECT c, w, sum(round({SCALE} * n * log2(n))) AS total FROM letters GROUP BY ALL),
+        high AS (
+            SELECT r, kind, rank, s + min(w) AS s, s + max(w) + {width} AS e
+            FROM sums JOIN likely USING (c)
+            WHERE total <= floor({SCALE} * {width} * (log2({width}) - CASE kind {bits} END))
+            GROUP BY c, r, kind, rank, s),
+        spans AS (
+            SELECT r, kind, rank, s, s + length(match) AS e FROM matches WHERE kind IN ({shapes})
+            UNION ALL SELECT * FROM high),
+        joined AS (
+            SELECT r, {counts},
+                   string_agg({item}, ',' ORDER BY s, rank, e) FILTER (WHERE kind IN ({shapes})) AS base,
+                   string_agg({item}, ',' ORDER BY s, rank, e) AS spans
+            FROM spans GROUP BY r)
+        SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in SHAPES)},
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM docs LEFT JOIN joined ON docs.r = joined.r
+    """
+
+
 ORACLES = {
+    "op13_secret_scans": _secrets_twin(),
     "op3_quality_rules": r"""
         WITH split AS (
             SELECT doc_id, coalesce(text, '') AS text,
