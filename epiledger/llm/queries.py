@@ -14,6 +14,7 @@ from epiledger.llm.hmm import score_texts
 from epiledger.llm.langid import identify, learn
 from epiledger.llm.lines import remove_boilerplate
 from epiledger.llm.packing import pack
+from epiledger.llm.prefix_trie import conversation_trie
 from epiledger.llm.quality import judge
 from epiledger.llm.secret_scan import ALLOWED, ENTROPY, SCALE, SHAPES, listed, scan_secrets
 from epiledger.llm.sharding import shard_by_size
@@ -23,6 +24,7 @@ from epiledger.llm.warc import captures, read_records, write_archives
 from epiledger.sources.shared import as_table, shared_folder
 
 SHARDS = 24
+FAMILY, BORROWED = 5, 9
 MIN_SITES = 10
 COVERAGE = 0.6
 TOKENIZER = "word_bpe_49k.json"
@@ -105,6 +107,17 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trie of conversations rebuilt on their family's first one; see :func:`conversation_trie` for nulls and ties."""
+    c = F.col("conv_id")
+    return conversation_trie(
+        read(spark, sf_dir, "conversations"),
+        base=c - c % FAMILY,
+        borrowed=F.crc32(c.cast("string")) % BORROWED,
+        most_borrowed=BORROWED - 1,
+    )
+
+
 def op13_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of secrets in every document; see :func:`scan_secrets` for nulls, empty and long texts and ties."""
     found = scan_secrets(read(spark, sf_dir, "documents"))
@@ -121,7 +134,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_sharding, op2_lm_scoring, op3_quality_rules, op4_language_id, op5_url_filters, op6_packing,
-        op7_decontamination, op8_line_dedup, op9_warc, op10_simhash, op13_secret_scans,
+        op7_decontamination, op8_line_dedup, op9_warc, op10_simhash,
+        op12_prefix_trie, op13_secret_scans,
     )
 }
 
@@ -198,6 +212,52 @@ def _secrets_twin(width: int = 20) -> str:
 
 
 ORACLES = {
+    "op12_prefix_trie": f"""
+        WITH own AS (
+            SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+                       md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) - 1 AS i
+            FROM conversations WHERE conv_id IS NOT NULL),
+        crc AS (
+            SELECT conv_id, count(*) AS n,
+                   xor(list_reduce(
+                       list_prepend(4294967295, flatten([list_concat([ascii(d)::BIGINT], [-1, -1, -1, -1, -1, -1, -1, -1])
+                                                         FOR d IN string_split(conv_id::VARCHAR, '')])),
+                       lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END),
+                   4294967295) % {BORROWED} AS h
+            FROM own GROUP BY conv_id),
+        rebuilt AS (
+            SELECT c.conv_id, b.i + 1 AS depth, b.role, b.text
+            FROM crc c JOIN own b ON b.conv_id = c.conv_id - c.conv_id % {FAMILY} AND b.i < c.h
+            UNION ALL
+            SELECT o.conv_id, o.i - c.h + 1 + least(c.h, coalesce(b.n, 0)), o.role, o.text
+            FROM own o JOIN crc c ON o.conv_id = c.conv_id AND o.i >= c.h
+            LEFT JOIN crc b ON b.conv_id = c.conv_id - c.conv_id % {FAMILY}),
+        whole AS (
+            SELECT crc.conv_id,
+                   coalesce(list(md5(role) || md5(text) ORDER BY depth) FILTER (WHERE depth IS NOT NULL), []) AS path,
+                   coalesce(list(strlen(text) ORDER BY depth) FILTER (WHERE depth IS NOT NULL), []) AS sizes
+            FROM crc LEFT JOIN rebuilt ON crc.conv_id = rebuilt.conv_id GROUP BY crc.conv_id),
+        member AS (SELECT *, unnest(range(0, len(path) + 1)) AS depth FROM whole),
+        nodes AS (
+            SELECT path[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   coalesce(min(sizes[depth]), 0) AS size,
+                   string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(path) = depth) AS ends
+            FROM member GROUP BY ALL),
+        above AS (
+            SELECT path[1:k] AS top, k, depth, conv_id, n_convs, size, path
+            FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM nodes)),
+        childless AS (SELECT path FROM above GROUP BY path HAVING path NOT IN (SELECT top FROM above WHERE k < depth)),
+        sums AS (
+            SELECT top, count(*) FILTER (WHERE depth = k + 1) AS n_children,
+                   count(*) FILTER (WHERE path IN (SELECT path FROM childless)) AS n_leaves,
+                   sum((n_convs - 1) * size)::BIGINT AS saved_tokens
+            FROM above GROUP BY top)
+        SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n_children, n_leaves, saved_tokens,
+               sha256(coalesce(n.ends, '')) AS ends_sha256
+        FROM nodes n JOIN sums ON n.path = sums.top
+        LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1] AND p.depth = n.depth - 1
+    """,
     "op13_secret_scans": _secrets_twin(),
     "op3_quality_rules": r"""
         WITH split AS (
