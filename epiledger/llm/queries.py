@@ -16,6 +16,7 @@ from epiledger.llm.lines import remove_boilerplate
 from epiledger.llm.packing import pack
 from epiledger.llm.prefix_trie import conversation_trie
 from epiledger.llm.quality import judge
+from epiledger.llm.ranked_search import rank_documents
 from epiledger.llm.secret_scan import ALLOWED, ENTROPY, SCALE, SHAPES, listed, scan_secrets
 from epiledger.llm.sharding import shard_by_size
 from epiledger.llm.simhash import near_duplicates
@@ -107,6 +108,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of each benchmark item; see :func:`rank_documents` for nulls, ties and repeated rows."""
+    found = rank_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", F.col("id").alias("doc_id"), "score")
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trie of conversations rebuilt on their family's first one; see :func:`conversation_trie` for nulls and ties."""
     c = F.col("conv_id")
@@ -135,7 +142,7 @@ QUERIES = {
     for f in (
         op1_sharding, op2_lm_scoring, op3_quality_rules, op4_language_id, op5_url_filters, op6_packing,
         op7_decontamination, op8_line_dedup, op9_warc, op10_simhash,
-        op12_prefix_trie, op13_secret_scans,
+        op11_ranked_search, op12_prefix_trie, op13_secret_scans,
     )
 }
 
@@ -212,6 +219,34 @@ def _secrets_twin(width: int = 20) -> str:
 
 
 ORACLES = {
+    "op11_ranked_search": r"""
+        WITH split AS (
+            SELECT row_number() OVER () AS r, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        whole AS (SELECT count(*) FILTER (WHERE len(terms) > 0) AS n_docs, sum(len(terms))::BIGINT AS n_terms FROM split),
+        sized AS (
+            SELECT r, doc_id, 25 + (75 * len(terms) * n_docs) // n_terms AS m FROM split, whole WHERE len(terms) > 0),
+        tfs AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM split) GROUP BY ALL),
+        weights AS (
+            SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM tfs, whole GROUP BY term),
+        items AS (SELECT row_number() OVER () AS q, item_id, text FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+        asked AS (
+            SELECT q, term, count(*) AS times FROM (
+                SELECT q, unnest(regexp_extract_all(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM items)
+            GROUP BY ALL),
+        scored AS (
+            SELECT q, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+            FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN sized USING (r) GROUP BY ALL),
+        ranked AS (
+            SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+            FROM scored JOIN sized USING (r) WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (q) WHERE rank <= 10
+    """,
     "op12_prefix_trie": f"""
         WITH own AS (
             SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
