@@ -173,10 +173,9 @@ def country_estimates(
     ).orderBy(F.desc("total_confirmed"), "location_key")
 
 
-def daily_estimates(cases: DataFrame, vaccinations: DataFrame | None) -> DataFrame:
-    """World series joined with vaccinations per date; both sides one row per day."""
-    vaccinations = _vaccinations_or_empty(vaccinations, cases)
-    daily = (
+def daily_sums(cases: DataFrame) -> DataFrame:
+    """Increments of all countries summed by day; sums of pieces add up to those of the whole."""
+    return (
         increments(cases)
         .filter(is_country() & F.col("date").isNotNull())
         .groupBy("date")
@@ -186,6 +185,16 @@ def daily_estimates(cases: DataFrame, vaccinations: DataFrame | None) -> DataFra
             F.sum("new_recovered").alias("global_new_recovered"),
         )
     )
+
+
+def daily_estimates(cases: DataFrame, vaccinations: DataFrame | None) -> DataFrame:
+    """World series joined with vaccinations per date; both sides one row per day."""
+    return daily_series(daily_sums(cases), _vaccinations_or_empty(vaccinations, cases))
+
+
+def daily_series(daily: DataFrame, vaccinations: DataFrame | None) -> DataFrame:
+    """Daily sums with their trailing mean and the vaccinations of each day."""
+    vaccinations = _vaccinations_or_empty(vaccinations, daily)
     vaccinated = (
         vaccinations.filter(is_country())
         .groupBy("date")

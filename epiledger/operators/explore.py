@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 from epiledger.functions.metrics import dose_metric, positive, zero
 from epiledger.functions.quantiles import exact_quantiles
 from epiledger.operators.lookups import with_continent
+from epiledger.operators.summaries import location_totals
 
 
 # --- filters -----------------------------------------------------------------
@@ -279,14 +280,41 @@ def kpis(
             for f in figures
         ]
     ).fillna(0, ["countries_regions"])
-    if defaults:
-        picked = picked.withColumns(
-            {
-                f: F.coalesce(_non_zero(f, kinds[f]), F.lit(v).cast(kinds[f]))
-                for f, v in defaults.items()
-            }
-        )
-    return picked
+    return _with_defaults(picked, defaults)
+
+
+def key_figures(
+    frame: DataFrame, by_world: bool = True, defaults: Mapping[str, object] | None = None
+) -> DataFrame:
+    """What ``kpis`` picks from the results of one clean frame, in one pass over it.
+
+    World totals, country totals and the latest day are all functions of one row per location, so
+    the frame collapses to that once and the levels are conditional sums of it, without a join or a
+    second scan.  Without ``by_world`` only locations with a name count, as in country results.
+    """
+    locations = location_totals(frame, F.max("country_name").alias("country_name"))
+    named = F.col("country_name").isNotNull()
+    counts = F.lit(True) if by_world else named
+    sources = dict(zip(_KPIS, ("confirmed", "deceased", "recovered", "open", "doses", "people"), strict=True))
+    some = F.count_if(named) > 0
+    picked = locations.agg(
+        *[
+            F.coalesce(F.sum(F.when(counts, F.col(c))), F.when(some, F.lit(0.0))).alias(f)
+            for f, c in sources.items()
+        ],
+        F.count_if(counts & F.col("location_key").isNotNull()).alias("countries_regions"),
+        F.max("latest_date").alias("latest_data_date"),
+    )
+    return _with_defaults(picked, defaults)
+
+
+def _with_defaults(picked: DataFrame, defaults: Mapping[str, object] | None) -> DataFrame:
+    """Each figure that is null or zero takes its default; a date only where it is null."""
+    kinds = {f: "double" for f in _KPIS} | {"countries_regions": "long", "latest_data_date": "date"}
+    values = {
+        f: F.coalesce(_non_zero(f, kinds[f]), F.lit(v).cast(kinds[f])) for f, v in (defaults or {}).items()
+    }
+    return picked.withColumns(values) if values else picked
 
 
 def _usable(figure: str) -> Column:

@@ -139,6 +139,76 @@ def running_totals(series: DataFrame, columns: Sequence[str] | None = None) -> D
     )
 
 
+def calendar_means(
+    df: DataFrame,
+    metrics: Sequence[str],
+    by: Sequence[str],
+    days: int = 7,
+    absent_as_zero: bool = False,
+    digits: int | None = None,
+) -> DataFrame:
+    """Trailing means over calendar days within each group, as ``{metric}_mean_{days}d``.
+
+    The frame is a range of days, not of rows, so a gap in the reports shortens it: the mean is
+    over the days reported in it, or with ``absent_as_zero`` over all its days.  A group has at most a row
+    a day if the frame is summed by group and day, which bounds its window.  Rows without a date
+    see only each other.
+    """
+    span = Window.partitionBy(*by).orderBy(F.unix_date("date")).rangeBetween(1 - days, 0)
+
+    def mean(c: str) -> Column:
+        value = zero(F.sum(c).over(span)) / days if absent_as_zero else F.avg(c).over(span)
+        return F.round(value, digits) if digits is not None else value
+
+    return df.withColumns({f"{c}_mean_{days}d": mean(c) for c in metrics})
+
+
+def completeness(
+    df: DataFrame, metrics: Sequence[str] = (), key: str = "location_key", date: str = "date"
+) -> DataFrame:
+    """Per location and month: days expected, days reported and the percentage; days with each metric.
+
+    Expected are all days from a location's first report to its last.  They are not laid out: the days
+    missing after a report are a gap up to the next one (``lead``), split over the months it spans, so
+    the work grows with the reports and not with the calendar.  Months inside a gap are there
+    with 0 days.  Repeated reports of a day count once.  Rows without location or date are left out.
+    """
+    daily = (
+        df.where(F.col(key).isNotNull() & F.col(date).isNotNull())
+        .groupBy(F.col(key).alias("_key"), F.col(date).alias("_day"))
+        .agg(*[F.max(F.col(c).isNotNull().cast("long")).alias(c) for c in metrics], F.lit(1).alias("_one"))
+        .withColumn("_next", F.lead("_day").over(Window.partitionBy("_key").orderBy("_day")))
+    )
+    first, last = F.date_add("_day", 1), F.date_sub("_next", 1)
+    gap = F.transform(
+        F.expr("sequence(trunc(date_add(_day, 1), 'MM'), trunc(date_sub(_next, 1), 'MM'), interval 1 month)"),
+        lambda month: _month_part(
+            month, F.lit(0), F.datediff(F.least(last, F.last_day(month)), F.greatest(first, month)) + 1, metrics, False
+        ),
+    )
+    own = F.array(_month_part(F.trunc("_day", "MM"), F.lit(1), F.lit(0), metrics, True))
+    parts = daily.select(
+        "_key",
+        F.explode(F.when(F.datediff("_next", "_day") > 1, F.concat(own, gap)).otherwise(own)).alias("_p"),
+    )
+    days = F.sum("_p.reported") + F.sum("_p.missing")
+    return parts.groupBy(F.col("_key").alias(key), F.col("_p.month").alias("month")).agg(
+        days.alias("days_expected"),
+        F.sum("_p.reported").alias("days_reported"),
+        F.round(F.lit(100.0) * F.sum("_p.reported") / days, 2).alias("completeness_pct"),
+        *[F.sum(f"_p.{c}").alias(f"days_with_{c}") for c in metrics],
+    )
+
+
+def _month_part(month: Column, reported: Column, missing: Column, metrics: Sequence[str], own: bool) -> Column:
+    return F.struct(
+        month.alias("month"),
+        reported.cast("long").alias("reported"),
+        missing.cast("long").alias("missing"),
+        *[(F.col(c) if own else F.lit(0).cast("long")).alias(c) for c in metrics],
+    )
+
+
 def monthly_totals(
     country_daily: DataFrame, metric: str, group: str = "country_name"
 ) -> DataFrame:

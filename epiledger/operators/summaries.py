@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from epiledger.functions.keys import country_code, is_regional
 from epiledger.functions.metrics import fatality_rate, latest, open_cases
-from epiledger.operators.lookups import with_demographics
+from epiledger.operators.lookups import capita_rates, with_continent, with_demographics
 from epiledger.schema import (
     DAILY_INCREMENTS,
     DAILY_RUNNING_TOTALS,
@@ -41,13 +41,9 @@ def empty_result(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.createDataFrame([], RESULT_DDL[name])
 
 
-def global_metrics(df: DataFrame) -> DataFrame:
-    """One row of world totals.
-
-    Rows collapse to one per location first, with the open cases of its latest
-    report, and those to one row: no second pass and no join.
-    """
-    per_location = df.groupBy("location_key").agg(
+def location_totals(df: DataFrame, *more: Column) -> DataFrame:
+    """One row per location: totals, the latest date and the open cases of that date's report."""
+    return df.groupBy("location_key").agg(
         _total(df, "new_confirmed", "confirmed"),
         _total(df, "new_deceased", "deceased"),
         _total(df, "new_recovered", "recovered"),
@@ -55,8 +51,17 @@ def global_metrics(df: DataFrame) -> DataFrame:
         _total(df, "new_vaccine_doses_administered", "doses"),
         F.max("date").alias("latest_date"),
         latest(open_cases(df)).alias("open"),
+        *more,
     )
-    return per_location.agg(
+
+
+def global_metrics(df: DataFrame) -> DataFrame:
+    """One row of world totals.
+
+    Rows collapse to one per location first, with the open cases of its latest
+    report, and those to one row: no second pass and no join.
+    """
+    return location_totals(df).agg(
         F.sum("confirmed").alias("total_cases"),
         F.sum("deceased").alias("total_deaths"),
         F.sum("recovered").alias("total_recoveries"),
@@ -68,9 +73,8 @@ def global_metrics(df: DataFrame) -> DataFrame:
     )
 
 
-def country_summary(df: DataFrame, demographics: DataFrame | None = None) -> DataFrame:
-    """Totals, peaks, open cases and rates per country, largest first."""
-    totals = (
+def _country_totals(df: DataFrame, *more: Column) -> DataFrame:
+    return (
         _named_rows(df)
         .groupBy(*LOCATION)
         .agg(
@@ -91,32 +95,61 @@ def country_summary(df: DataFrame, demographics: DataFrame | None = None) -> Dat
             _peak(df, "new_confirmed", "peak_daily_confirmed"),
             F.count("date").alias("days_reported"),
             latest(open_cases(df)).alias("active_cases"),
+            *more,
         )
         .withColumn("case_fatality_rate", fatality_rate("total_deceased", "total_confirmed"))
     )
+
+
+def country_summary(df: DataFrame, demographics: DataFrame | None = None) -> DataFrame:
+    """Totals, peaks, open cases and rates per country, largest first."""
     return (
-        with_demographics(totals, demographics)
+        with_demographics(_country_totals(df), demographics)
         .withColumn("total_vaccinated", F.col("total_people_vaccinated"))
         .select(*LOCATION, *[c for c in _columns("country_summary") if c not in LOCATION])
         .orderBy(F.desc("total_confirmed"), "location_key")
     )
 
 
+def enriched_country_summary(
+    df: DataFrame,
+    demographics: DataFrame | None = None,
+    continents: DataFrame | None = None,
+) -> DataFrame:
+    """What ``enriched_country_metrics`` makes of a frame's country and vaccination results.
+
+    Both results group the same rows by the same key, so one aggregation gives the columns of
+    both: the frame is read once and nothing is merged.
+    """
+    peak = "peak_daily_vaccine_doses_administered"
+    totals = _country_totals(df, _peak(df, "new_vaccine_doses_administered", peak))
+    both = (
+        with_demographics(totals, demographics)
+        .withColumn("total_vaccinated", F.col("total_people_vaccinated"))
+        .select(*_columns("country_summary"), peak)
+    )
+    return with_continent(capita_rates(both), continents)
+
+
 def _columns(name: str) -> list[str]:
     return [part.split()[0] for part in RESULT_DDL[name].split(", ")]
 
 
-def daily_summary(df: DataFrame) -> DataFrame:
-    """World series per date with running totals and trailing seven-row means.
+def daily_summary(df: DataFrame, calendar: bool = False) -> DataFrame:
+    """World series per date with running totals and trailing means.
 
-    The frames are unpartitioned, over one row per calendar day: the facts are
-    summed by date first, so the single window task sees thousands of rows.
+    The means cover seven rows, or with ``calendar`` the rows of seven days, which are fewer
+    where days are missing; a row without a date is then alone.  The frames are
+    unpartitioned, over one row per calendar day: the facts are summed by date first, so the
+    single window task sees thousands of rows.
     """
     daily = df.groupBy("date").agg(
         *[_total(df, source, series) for source, series in GLOBAL_SERIES.items()]
     )
     so_far = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
     week = Window.orderBy("date").rowsBetween(-6, 0)
+    if calendar:
+        week = Window.orderBy(F.unix_date("date")).rangeBetween(-6, 0)
     running = {
         series.replace("global_new_", "cumulative_global_"): F.sum(series).over(so_far)
         for series in GLOBAL_SERIES.values()

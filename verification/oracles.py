@@ -846,6 +846,87 @@ PIECES["selected_range"] = _selected(
     "AND date >= DATE '1996-01-01' AND date < DATE '2001-01-01'"
 )
 BODIES["filtered_series_view"] = _running(_resampled("month", "selected_range"))
+_DAYS = "OVER ({by} ORDER BY date RANGE BETWEEN INTERVAL {n} DAY PRECEDING AND CURRENT ROW)"
+BODIES["daily_summary_calendar"] = PIECES["daily"].replace(_WEEK, _DAYS.format(by="", n=6))
+_BY_PLACE = _DAYS.format(by="PARTITION BY location_key", n="{n}")
+BODIES["country_calendar_means"] = f"""
+  SELECT location_key, date, new_confirmed, new_deceased,
+    round(avg(new_confirmed) {_BY_PLACE.format(n=6)}, 6) AS new_confirmed_mean_7d,
+    round(avg(new_deceased) {_BY_PLACE.format(n=6)}, 6) AS new_deceased_mean_7d
+  FROM country_daily"""
+BODIES["country_calendar_sums"] = f"""
+  SELECT location_key, date, new_confirmed,
+    round(coalesce(sum(new_confirmed) {_BY_PLACE.format(n=13)}, 0.0) / 14, 6) AS new_confirmed_mean_14d
+  FROM country_daily"""
+# Every expected day laid out, where the operator works from gaps.
+BODIES["monthly_completeness"] = """
+  SELECT location_key, month, count(*) AS days_expected, count(reported) AS days_reported,
+    round(100.0 * count(reported) / count(*), 2) AS completeness_pct,
+    coalesce(sum(confirmed), 0)::BIGINT AS days_with_new_confirmed,
+    coalesce(sum(cumulative), 0)::BIGINT AS days_with_cumulative_confirmed
+  FROM (
+    SELECT e.location_key, CAST(date_trunc('month', e.day) AS DATE) AS month, r.date AS reported, confirmed, cumulative
+    FROM (SELECT location_key, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS day
+          FROM cases WHERE location_key IS NOT NULL AND date IS NOT NULL GROUP BY location_key) e
+    LEFT JOIN (SELECT location_key, date, max(CASE WHEN new_confirmed IS NOT NULL THEN 1 ELSE 0 END) AS confirmed,
+                 max(CASE WHEN cumulative_confirmed IS NOT NULL THEN 1 ELSE 0 END) AS cumulative
+               FROM cases GROUP BY location_key, date) r
+      ON r.location_key = e.location_key AND r.date = e.day)
+  GROUP BY location_key, month"""
+
+
+def _zscore(c: str) -> str:
+    return f"""CASE WHEN {c} IS NULL THEN NULL
+      WHEN stddev_pop({c}) OVER (PARTITION BY country_name) > 0
+      THEN round(({c} - avg({c}) OVER (PARTITION BY country_name))
+        / stddev_pop({c}) OVER (PARTITION BY country_name), 6) + 0.0 ELSE 0.0 END AS {c}_zscore"""
+
+
+BODIES["country_zscores"] = f"""
+  SELECT country_name, location_key, date, new_confirmed, new_hospitalized_patients,
+    {_zscore('new_confirmed')}, {_zscore('new_hospitalized_patients')} FROM country"""
+BODIES["country_zscores_merged"] = BODIES["country_zscores"]
+BODIES["custom_metrics"] = """
+  SELECT location_key, total_confirmed, total_deceased, total_recovered, days_reported, population,
+    total_deceased / nullif(total_confirmed, 0) * 100 AS deaths_per_case,
+    (total_confirmed - total_recovered - total_deceased) / nullif(CAST(population AS DOUBLE), 0) AS open_share,
+    greatest(-total_recovered, abs(total_deceased - 3.5)) + coalesce(CAST(population AS DOUBLE), 1e3) AS balance,
+    total_confirmed / nullif(CAST(days_reported AS DOUBLE) - 100, 0) AS per_quiet_day
+  FROM country_sum"""
+_PAGED = """
+  SELECT location_key, date, nullif(new_confirmed, 0) AS new_confirmed,
+    row_number() OVER (ORDER BY nullif(new_confirmed, 0) DESC NULLS LAST, location_key, date) - 1 AS row
+  FROM country_daily"""
+BODIES["paged_reports"] = f"SELECT *, CAST(row // 50 AS BIGINT) AS page FROM ({_PAGED})"
+BODIES["page_after_key"] = f"SELECT * FROM ({_PAGED}) WHERE row BETWEEN 150 AND 199"
+
+
+def _rule(name: str, fails: str) -> str:
+    key = "coalesce(location_key, 'null') || '|' || coalesce(CAST(date AS VARCHAR), 'null')"
+    order = "location_key {0} NULLS {1}, date {0} NULLS {1}"
+    pick = "first({key} ORDER BY {order}) FILTER (WHERE {fails})"
+    return f"""SELECT '{name}' AS rule, count(*) AS checked, count(*) FILTER (WHERE {fails}) AS failed,
+      {pick.format(key=key, order=order.format('ASC', 'FIRST'), fails=fails)} AS first_key,
+      {pick.format(key=key, order=order.format('DESC', 'LAST'), fails=fails)} AS last_key
+      FROM (SELECT *, row_number() OVER (PARTITION BY location_key, date) AS nth FROM cases)"""
+
+
+BODIES["value_contracts"] = " UNION ALL ".join(
+    _rule(name, fails)
+    for name, fails in {
+        "location_key is there": "location_key IS NULL",
+        "new_confirmed is there": "new_confirmed IS NULL",
+        "location_key reads as int": "location_key IS NOT NULL AND TRY_CAST(location_key AS INT) IS NULL",
+        "new_confirmed between 0 and 900": "new_confirmed < 0 OR new_confirmed > 900",
+        "new_deceased is listed": "new_deceased NOT IN (0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12, 13, 14)",
+        "location_key has the shape ^[0-9]{2}(_[A-Z]+)?$": "NOT regexp_matches(location_key, '^[0-9]{2}(_[A-Z]+)?$')",
+        "new_recovered at most cumulative_recovered": "new_recovered > cumulative_recovered",
+        "keys are unique": "nth > 1",
+    }.items()
+)
+BODIES["chunk_totals_merged"] = BODIES["chunked_daily_totals"]
+BODIES["kpis_from_stored_results"] = BODIES["kpis"]
+BODIES["merged_country_metrics"] = BODIES["enriched_country_metrics"]
 for _variant in ("raw", "estimated"):
     BODIES[f"documents_roundtrip_{_variant}"] = BODIES[f"country_summary_{_variant}"]
 

@@ -8,13 +8,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from epiledger.functions.expressions import with_metric
 from epiledger.functions.keys import has_case_data, is_country, is_regional
-from epiledger.operators import cleaning, estimates, explore, lookups, quality, series
-from epiledger.operators import summaries, unclean
+from epiledger.operators import cleaning, contracts, estimates, explore, lookups, pages, partials
+from epiledger.operators import quality, scores, series, summaries, unclean
 from epiledger.operators.frames import country_frame, facts_frame, regional_frame
 from epiledger.plans import reports, views
 from epiledger.sources import readers, sinks, testbed
-from epiledger.sources.shared import shared_folder
+from epiledger.sources.shared import as_table, shared_folder
 from epiledger.streaming.key_counts import add_counts, count_keys
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,6 +224,48 @@ def daily_summary(spark, d):
     return _daily(spark, d)
 
 
+@query
+def daily_summary_calendar(spark, d):
+    return summaries.daily_summary(_country_vaccinated(spark, d), calendar=True)
+
+
+@query
+def country_calendar_means(spark, d):
+    """Trailing means of seven days per country, whose reports have gaps."""
+    metrics = ["new_confirmed", "new_deceased"]
+    rows = _country_daily(spark, d).select("location_key", "date", *metrics)
+    return series.calendar_means(rows, metrics, ["location_key"], digits=6)
+
+
+@query
+def country_calendar_sums(spark, d):
+    """The same over fourteen days, days without a report counting as zero."""
+    rows = _country_daily(spark, d).select("location_key", "date", "new_confirmed")
+    return series.calendar_means(rows, ["new_confirmed"], ["location_key"], 14, absent_as_zero=True, digits=6)
+
+
+@query
+def monthly_completeness(spark, d):
+    return series.completeness(testbed.cases(spark, d), ["new_confirmed", "cumulative_confirmed"])
+
+
+@query
+def country_zscores(spark, d):
+    """Scores of each report within its country; locations without a name are a group."""
+    rows = _country(spark, d).select("country_name", "location_key", "date", "new_confirmed", "new_hospitalized_patients")
+    return scores.zscores(rows, ["new_confirmed", "new_hospitalized_patients"], ["country_name"], digits=6)
+
+
+@query
+def country_zscores_merged(spark, d):
+    """The same off moments kept per year and merged."""
+    metrics = ["new_confirmed", "new_hospitalized_patients"]
+    rows = _country(spark, d).select("country_name", "location_key", "date", *metrics)
+    parts = scores.moments(rows.withColumn("year", F.year("date")), metrics, ["country_name", "year"])
+    known = scores.merge_moments(as_table(parts, "moments"), metrics, ["country_name"])
+    return scores.zscores(rows, metrics, ["country_name"], digits=6, known=known)
+
+
 @query
 def country_daily_summary(spark, d):
     return _country_daily(spark, d)
@@ -344,6 +387,17 @@ def chunked_daily_totals(spark, d):
     )
 
 
+@query
+def chunk_totals_merged(spark, d):
+    """The same off sums kept per chunk: three chunks, one of them delivered twice."""
+    cases, folder = testbed.cases(spark, d), _scratch(spark, "chunks")
+    year = F.coalesce(F.year("date"), F.lit(0))
+    chunks = {"old": year < 1994, "middle": year.between(1994, 1997), "new": year > 1997}
+    for name, rows in [*chunks.items(), ("middle", chunks["middle"])]:
+        partials.store_chunk(cases.filter(rows), folder, name)
+    return partials.merged_daily(spark, folder, testbed.vaccinations(spark, d))
+
+
 @query
 def override_merge(spark, d):
     return lookups.override_merge(
@@ -436,11 +490,20 @@ def date_bounds(spark, d):
 
 @query
 def enriched_country_metrics(spark, d):
-    return lookups.enriched_country_metrics(
-        _country_summary(spark, d), _vaccination(spark, d), testbed.continents(spark, d)
+    return summaries.enriched_country_summary(
+        _country_vaccinated(spark, d), testbed.demographics(spark, d), testbed.continents(spark, d)
     )
 
 
+@query
+def merged_country_metrics(spark, d):
+    """The same off stored country and vaccination results, merged."""
+    frame = as_table(_country_vaccinated(spark, d), "facts")
+    country = summaries.country_summary(frame, testbed.demographics(spark, d))
+    vaccination = summaries.vaccination_summary(frame)
+    return lookups.enriched_country_metrics(country, vaccination, testbed.continents(spark, d))
+
+
 @query
 def coalescing_merge(spark, d):
     """Totals missing on the left for odd days come from the right."""
@@ -482,19 +545,53 @@ def map_names(spark, d):
 
 @query
 def kpis(spark, d):
-    frame = _country_vaccinated(spark, d)
-    return explore.kpis(
-        summaries.global_metrics(frame),
-        summaries.country_summary(frame, testbed.demographics(spark, d)),
-        summaries.daily_summary(frame),
-    )
+    return explore.key_figures(_country_vaccinated(spark, d))
 
 
 @query
 def kpis_from_countries(spark, d):
-    return explore.kpis(
-        None, _country_summary(spark, d), _daily(spark, d), {"active_cases": 22.0}
-    )
+    return explore.key_figures(_country_vaccinated(spark, d), False, {"active_cases": 22.0})
+
+
+@query
+def kpis_from_stored_results(spark, d):
+    """Key figures off results already stored, as a reader of a finished run has them."""
+    frame = as_table(_country_vaccinated(spark, d), "facts")
+    results = {
+        "world": summaries.global_metrics(frame),
+        "country": summaries.country_summary(frame, testbed.demographics(spark, d)),
+        "daily": summaries.daily_summary(frame),
+    }
+    return explore.kpis(**{name: as_table(df, name) for name, df in results.items()})
+
+
+@query
+def custom_metrics(spark, d):
+    """Metrics as users write them, over the country result."""
+    rows = _country_summary(spark, d).select("location_key", *METRICS)
+    rows = with_metric(rows, "deaths_per_case", "total_deceased / total_confirmed * 100")
+    rows = with_metric(rows, "open_share", "(total_confirmed - total_recovered - total_deceased) / population")
+    rows = with_metric(rows, "balance", "greatest(-total_recovered, abs(total_deceased - 3.5)) + coalesce(population, 1e3)")
+    return with_metric(rows, "per_quiet_day", "total_confirmed / (days_reported - 100)")
+
+
+def _report_pages(spark, d):
+    rows = _country_daily(spark, d).select("location_key", "date", F.expr("nullif(new_confirmed, 0)").alias("new_confirmed"))
+    return pages.paged(rows, "new_confirmed", ["location_key", "date"])
+
+
+@query
+def paged_reports(spark, d):
+    """All pages of 50 reports from the largest down, as a reader turns them."""
+    return _report_pages(spark, d).withColumn("page", F.floor(F.col("row") / 50))
+
+
+@query
+def page_after_key(spark, d):
+    """The page of 50 that follows row 149, by seeking past its value and keys."""
+    table = _report_pages(spark, d)
+    last = tuple(table.where("row = 149").select("new_confirmed", "location_key", "date", "row").first())
+    return pages.page_after(table, "new_confirmed", ["location_key", "date"], 50, last)
 
 
 @query
@@ -750,15 +847,31 @@ def source_preview_columns(spark, d):
 
 @query
 def data_quality(spark, d):
+    country = as_table(_country_summary(spark, d), "country-summary")
     return quality.quality_reports(
         {
             "cases": testbed.cases(spark, d).drop("src_id"),
-            "country_summary": _country_summary(spark, d),
-            "empty": _country_summary(spark, d).filter("total_confirmed < 0"),
+            "country_summary": country,
+            "empty": country.filter("total_confirmed < 0"),
         }
     )
 
 
+@query
+def value_contracts(spark, d):
+    """Types, ranges and keys of the raw reports, all in one aggregation."""
+    rules = [
+        contracts.required("location_key"),
+        contracts.required("new_confirmed"),
+        contracts.castable("location_key", "int"),
+        contracts.between("new_confirmed", 0, 900),
+        contracts.one_of("new_deceased", [float(k) for k in range(15)]),
+        contracts.shaped("location_key", "^[0-9]{2}(_[A-Z]+)?$"),
+        contracts.at_most("new_recovered", "cumulative_recovered"),
+    ]
+    return contracts.check_values(testbed.cases(spark, d), rules, ["location_key", "date"])
+
+
 @query
 def parquet_roundtrip(spark, d):
     base = _scratch(spark, "results")
