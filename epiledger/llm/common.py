@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,3 +67,16 @@ def numbered(
 def block_of_rows() -> Column:
     """At most 65,536 neighbouring rows of a partition; fixed once it is stored."""
     return F.shiftright(F.monotonically_increasing_id(), 16)
+
+
+def slices(batch: pa.RecordBatch, text: int | str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of some bytes of text; a longer text is a slice of its own.
+
+    What a task keeps of a slice is gone before the next, so its memory depends on bytes, not on rows.
+    """
+    sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    upto, at = np.cumsum(sizes.astype(np.int64) + 64), 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(upto, most + (upto[at - 1] if at else 0), "right"))
+        yield batch.slice(at, max(end, at + 1) - at)
+        at = max(end, at + 1)

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from epiledger.llm.common import slices
+
 BUCKETS = 1 << 16
 UNKNOWN = "und"
 _other = re.compile(r"[\W\d_]+")
@@ -188,8 +190,7 @@ def identify(
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 128):
-                batch = whole.slice(at, 128)
+            for batch in slices(whole, text_column, 1 << 18):
                 found, score = languages.predict(batch.column(text_column).to_pylist())
                 yield pa.record_batch([*batch.columns, pa.array(found, pa.string()), pa.array(score)], schema.names)
 

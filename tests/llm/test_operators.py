@@ -24,7 +24,7 @@ from epiledger.llm.lines import remove_boilerplate
 from epiledger.llm.packing import pack, pack_lengths
 from epiledger.llm.quality import judge
 from epiledger.llm.sharding import longest_first, shard_by_size
-from epiledger.llm.simhash import met_in_segments, near_duplicates, near_links, simhash, similar_texts
+from epiledger.llm.simhash import near_duplicates, near_links, simhash, similar_texts
 from epiledger.llm.urlrules import judge_urls
 from epiledger.llm.warc import captures, read_records, write_archives
 
@@ -411,24 +411,6 @@ def test_texts_without_words_are_linked(docs):
     assert {(r.id, r.component_id) for r in found} == {(4, 4), (5, 4), (None, 4)}
 
 
-def test_segments_meet_but_for_one_bit(spark):
-    rng = np.random.default_rng(7)
-    base = rng.integers(-(1 << 63), 1 << 63, (12, 4))
-    rows = []
-    for k in range(120):
-        bits = np.zeros(256, np.uint8)
-        bits[rng.choice(256, rng.integers(0, 24), replace=False)] = 1
-        rows.append((k, (base[k % 12] ^ np.packbits(bits).view(np.int64)).tolist(), k // 60))
-
-    def meet(x, y):
-        apart = np.array(x[1]).view(np.uint32) ^ np.array(y[1]).view(np.uint32)
-        return x[2] != y[2] and np.bitwise_count(apart).min() <= 1
-
-    df = spark.createDataFrame(rows, "node long, of_words array<long>, label long")
-    found = {(r.a, r.b) for r in met_in_segments(df).collect()}
-    assert found and found == {(x[0], y[0]) for x, y in itertools.combinations(rows, 2) if meet(x, y)}
-
-
 def test_similar_texts_link_edited_copies_only(spark):
     rng = np.random.default_rng(11)
     rows, other = [], 1000
