@@ -925,6 +925,57 @@ BODIES["value_contracts"] = " UNION ALL ".join(
     }.items()
 )
 BODIES["chunk_totals_merged"] = BODIES["chunked_daily_totals"]
+BODIES["unparseable_dates"] = f"""SELECT src_id, date, location_key, {_clean(CASES)}, cumulative_recovered
+  FROM (SELECT *, row_number() OVER (PARTITION BY date, location_key ORDER BY src_id) AS rn FROM (
+    SELECT * REPLACE (CASE WHEN src_id % 13 <> 5 THEN date END AS date)
+    FROM cases WHERE (date IS NOT NULL OR src_id % 13 = 5) AND location_key IS NOT NULL)) WHERE rn = 1"""
+BODIES["sort_ascending"] = """SELECT cases_per_million,
+  CAST(row_number() OVER (ORDER BY cases_per_million NULLS LAST) AS INTEGER) AS position FROM country_sum"""
+BODIES["inferred_csv_types"] = BODIES["typed_csv_roundtrip"]
+_RUNS = {
+    "clean": {
+        name: name
+        for name in (
+            "global_metrics", "country_summary", "daily_summary", "country_daily_summary",
+            "vaccination_summary", "hospitalization_summary", "regional_summary",
+        )
+    },
+    "raw": {
+        f"{name}_summary": f"{name}_summary_raw" for name in ("country", "daily", "vaccination", "hospitalization")
+    },
+    "estimated": {
+        "country_summary": "country_summary_estimated",
+        "daily_summary": "daily_summary_vaccinated",
+        "regional_summary": "regional_summary_level1",
+        "vaccination_summary": "vaccination_summary_all_days",
+        "hospitalization_summary": "hospitalization_all_rows",
+    },
+}
+_PLACE = ["location_key", "country_name"]
+_KEYS = {
+    "global_metrics": ["latest_data_date"],
+    "daily_summary": ["date"],
+    "country_daily_summary": [*_PLACE, "date"],
+    "regional_summary": ["location_key", "region_name", "country_code", "parent_country"],
+}
+
+
+def _values(result: str, body: str, keys: list[str]) -> str:
+    key = " || '|' || ".join(f"coalesce(CAST({k} AS VARCHAR), '')" for k in keys)
+    return f"""SELECT '{result}' AS result, key, metric, value FROM (
+      UNPIVOT (SELECT {key} AS key, CAST(COLUMNS(* EXCLUDE ({', '.join(keys)})) AS DOUBLE) FROM ({body}))
+      ON COLUMNS(* EXCLUDE (key)) INTO NAME metric VALUE value)"""
+
+
+for _variant, _parts in _RUNS.items():
+    BODIES[f"stored_run_{_variant}"] = " UNION ALL ".join(
+        _values(
+            result,
+            BODIES[twin],
+            [*_PLACE, "continent"] if twin == "country_summary_estimated" else _KEYS.get(result, _PLACE),
+        )
+        for result, twin in _parts.items()
+    )
 BODIES["kpis_from_stored_results"] = BODIES["kpis"]
 BODIES["merged_country_metrics"] = BODIES["enriched_country_metrics"]
 for _variant in ("raw", "estimated"):

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from epiledger.functions.expressions import with_metric
 from epiledger.functions.keys import has_case_data, is_country, is_regional
@@ -118,6 +120,13 @@ def clean_increments(spark, d):
     return estimates.increments(testbed.cases(spark, d))
 
 
+@query
+def unparseable_dates(spark, d):
+    """Dates as text, some of no day: such reports stay, one a location, as the key check runs first."""
+    text = F.when(F.col("src_id") % 13 == 5, F.lit("31/31/2021")).otherwise(F.col("date").cast("string"))
+    return cleaning.clean(testbed.cases(spark, d).withColumn("date", text), order_by=ORDER)
+
+
 @query
 def drop_missing_keys(spark, d):
     return cleaning.drop_missing_keys(testbed.cases(spark, d))
@@ -301,6 +310,50 @@ def run_all_counts(spark, d):
     return quality.row_counts(reports.results_of(inputs, "clean", ORDER))
 
 
+_TEXTS = [
+    "location_key", "country_name", "region_name", "country_code", "parent_country", "continent", "date",
+    "latest_data_date",
+]
+
+
+def _stored_run(spark, d, variant):
+    """Every value of every result of a run, as read back from where the run stored it."""
+    s, base = testbed.load(spark, d), _scratch(spark, f"run-{variant}")
+    inputs = reports.Inputs(
+        s.cases, s.index, s.vaccinations, s.hospitalizations, s.demographics,
+        continents=s.continents, overrides=_overrides(spark, d),
+    )
+    results = reports.results_of(inputs, variant, ORDER)
+    sinks.write_results(results, base)
+    parts = []
+    for name in results:
+        df = readers.read_parquet(spark, base, name)
+        texts = [c for c in _TEXTS if c in df.columns]
+        metrics = [c for c in df.columns if c not in texts]
+        key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in texts])
+        values = F.array(
+            *[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in metrics]
+        )
+        rows = df.select(F.lit(name).alias("result"), key.alias("key"), F.explode(values).alias("v"))
+        parts.append(rows.select("result", "key", "v.*").where("value IS NOT NULL"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query
+def stored_run_clean(spark, d):
+    return _stored_run(spark, d, "clean")
+
+
+@query
+def stored_run_raw(spark, d):
+    return _stored_run(spark, d, "raw")
+
+
+@query
+def stored_run_estimated(spark, d):
+    return _stored_run(spark, d, "estimated")
+
+
 # --- raw and estimating variants ---------------------------------------------
 
 
@@ -821,6 +874,17 @@ def sort_nulls_last(spark, d):
     )
 
 
+@query
+def sort_ascending(spark, d):
+    """The place of each value as the sort delivers it, nulls last."""
+    rows = _country_summary(spark, d).select("cases_per_million")
+    placed = explore.sort_rows(rows, "cases_per_million", descending=False).withColumn(
+        "place", F.monotonically_increasing_id()
+    )
+    position = F.row_number().over(Window.orderBy("place"))
+    return placed.select("cases_per_million", position.alias("position"))
+
+
 @query
 def filter_bounds(spark, d):
     return explore.filter_bounds(_country_summary(spark, d))
@@ -980,6 +1044,15 @@ def csv_roundtrip(spark, d):
     ).withColumn("cumulative_recovered", F.col("cumulative_recovered").try_cast("double"))
 
 
+@query
+def inferred_csv_types(spark, d):
+    """Types found by looking at the file."""
+    base = _scratch(spark, "inferred")
+    cases = testbed.cases(spark, d).select("src_id", "date", "location_key", "new_confirmed")
+    sinks.write_csv(cases, f"{base}/cases.csv")
+    return readers.read_typed_csv(spark, base, "cases.csv").withColumn("src_id", F.col("src_id").cast("long"))
+
+
 @query
 def typed_csv_roundtrip(spark, d):
     base = _scratch(spark, "typed")
