@@ -21,9 +21,10 @@ OWN = 4095  # words with a class of their own; class 0 is the end
 SHARED = 4096  # classes of words by ending
 CLASSES = 1 + OWN + SHARED
 ROUNDS = 4
-STRETCH = 1024
+STRETCH = 1024  # tokens between two kept states of a long document
+CELLS = 1 << 18  # tokens of documents that move in step
 BLOCK_BYTES = 16 << 20
-WEIGHT = 50  # occurrences that the emission by class counts as
+SHRINKS = tuple(2.0**k for k in range(-1, 11))  # occurrences that the states of a word's class may count as
 LN10 = math.log(10)
 
 
@@ -133,6 +134,11 @@ class Lexicon:
         return np.where(classes > OWN, shared, 0.0)
 
 
+def class_mass(counts: np.ndarray, class_tokens: np.ndarray) -> np.ndarray:
+    """Expected counts by state and class with 50 occurrences a state spread as in the corpus."""
+    return counts + 50 * (class_tokens + 1.0) / (class_tokens.sum() + len(class_tokens))
+
+
 class Model:
     """Start, transition and emission probabilities of the hidden states."""
 
@@ -151,20 +157,11 @@ class Model:
     def of_counts(counts: np.ndarray, class_tokens: np.ndarray) -> Model:
         """Maximises the expected counts ``[states, classes + states + 1]``, slightly smoothed."""
         states, n = len(counts), len(class_tokens)
-        prior = (class_tokens + 1.0) / (class_tokens.sum() + n)
-        emit = counts[:, :n] + 50 * prior
+        emit = class_mass(counts[:, :n], class_tokens)
         move = counts[:, n : n + states] + 1.0 / states
         start = counts[:, -1] + 1.0 / states
         return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(1, keepdims=True))
 
-    def over_words(self, learned: WordCounts | None, backoff: np.ndarray, n: np.ndarray) -> Model:
-        """The model with emissions of single words, the end last; ``backoff``: those by class."""
-        emit = backoff
-        if learned is not None:
-            n = np.concatenate([n, learned.ends[None]]).T
-            emit = (n + WEIGHT * backoff) / (learned.totals[:, None] + WEIGHT)
-        return Model(self.start, self.move, emit)
-
     def log10_likelihood(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Exact log10 probability of each sequence, by the scaled forward recursion.
 
@@ -187,134 +184,204 @@ class Model:
         out[order] = total / LN10
         return out
 
+    def _forward(self, sequences: list[np.ndarray], at: int, before: np.ndarray | None):
+        """Scaled forward vectors of one stretch of sequences, longest first; ``before``: those at its eve."""
+        parts = [s[at : at + STRETCH] for s in sequences]
+        lengths = np.array([len(p) for p in parts])
+        classes = np.zeros((lengths[0], len(parts)), np.int64)
+        for k, p in enumerate(parts):
+            classes[: len(p), k] = p
+        alive = np.arange(lengths[0])[:, None] < lengths
+        step = self.emit.T[classes] * alive[:, :, None]
+        alpha = np.zeros_like(step)
+        for t, n in enumerate(alive.sum(1).tolist()):
+            come = alpha[t - 1, :n] @ self.move if t else self.start if before is None else before[:n] @ self.move
+            now = come * step[t, :n]
+            scale = now.sum(1)[:, None]
+            alpha[t, :n] = now / scale
+            step[t, :n] /= scale
+        return classes, alive, step, alpha
+
     def expected_counts(self, sequences: list[np.ndarray], counts: np.ndarray) -> None:
-        """Adds the expected emissions, moves and starts of the sequences (Baum-Welch)."""
+        """Adds the expected emissions, moves and starts of the sequences (Baum-Welch), exactly.
+
+        A long sequence is gone through by stretches: forwards, keeping the state at each one's end, then
+        backwards, where a stretch's vectors are computed again from the state kept before it.  So the
+        memory is that of one stretch and nothing is cut.
+        """
         sequences = sorted(sequences, key=len, reverse=True)
-        lengths = np.array([len(s) for s in sequences])
-        steps, states, n_classes = lengths[0], len(self.start), self.emit.shape[1]
-        classes = np.zeros((steps, len(sequences)), np.int64)
-        for k, s in enumerate(sequences):
-            classes[: len(s), k] = s
-        alive = np.arange(steps)[:, None] < lengths
-        running = alive.sum(1).tolist()
-        step = self.emit.T[classes] * alive[:, :, None]
-        alpha, scale = np.zeros_like(step), np.ones(classes.shape)
-        now = self.start * step[0]
-        for t, n in enumerate(running):
-            if t:
-                now = (alpha[t - 1, :n] @ self.move) * step[t, :n]
-            scale[t, :n] = now.sum(1)
-            alpha[t, :n] = now / scale[t, :n, None]
-        step /= scale[:, :, None]
-        beta = np.ones(alpha.shape[1:])
-        gamma = alpha.copy()
-        back = self.move.T
-        for t in range(steps - 2, -1, -1):
+        eves: list[np.ndarray | None] = [None]
+        for at in range(STRETCH, len(sequences[0]), STRETCH):
+            running = sum(len(s) > at - STRETCH for s in sequences)
+            alpha = self._forward(sequences[:running], at - STRETCH, eves[-1])[3]
+            eves.append(alpha[-1, : sum(len(s) > at for s in sequences)].copy())
+        after = np.zeros((0, len(self.start)))
+        for j in reversed(range(len(eves))):
+            running = sum(len(s) > j * STRETCH for s in sequences)
+            after = self._count(*self._forward(sequences[:running], j * STRETCH, eves[j]), after, j == 0, counts)
+
+    def _count(self, classes, alive, step, alpha, after: np.ndarray, first: bool, counts: np.ndarray) -> np.ndarray:
+        """Adds the counts of one stretch; ``after``: for those that go on, emission times what follows.
+
+        Returns the same for the stretch before.
+        """
+        states, n_classes, go_on = len(self.start), self.emit.shape[1], len(after)
+        back, moves = self.move.T, alpha[-1, :go_on].T @ after
+        beta, gamma, running = np.ones(alpha.shape[1:]), alpha.copy(), alive.sum(1).tolist()
+        beta[:go_on] = after @ back
+        gamma[-1, :go_on] *= beta[:go_on]
+        for t in range(len(step) - 2, -1, -1):
             n = running[t + 1]
-            step[t + 1, :n] *= beta[:n]  # emission times what follows
+            step[t + 1, :n] *= beta[:n]
             beta[:n] = step[t + 1, :n] @ back
             gamma[t, :n] *= beta[:n]
+        moves += alpha[:-1].reshape(-1, states).T @ step[1:].reshape(-1, states)
         seen = alive.ravel()
-        flat, gamma = classes.ravel()[seen], gamma.reshape(-1, states)[seen]
+        flat, of_state = classes.ravel()[seen], gamma.reshape(-1, states)[seen]
         for k in range(states):
-            counts[k, :n_classes] += np.bincount(flat, gamma[:, k], n_classes)
-        counts[:, n_classes : n_classes + states] += self.move * (
-            alpha[:-1].reshape(-1, states).T @ step[1:].reshape(-1, states)
-        )
-        counts[:, -1] += gamma[: len(sequences)].sum(0)
+            counts[k, :n_classes] += np.bincount(flat, of_state[:, k], n_classes)
+        counts[:, n_classes : n_classes + states] += self.move * moves
+        if first:
+            counts[:, -1] += gamma[0].sum(0)
+        return step[0] * beta
 
 
-class WordCounts:
-    """Expected emissions by state: of every training word in a table, of the end, of all together."""
+class Emissions:
+    """Emissions of single words, from expected counts by state of words and of classes.
 
-    def __init__(self, table: DataFrame, ends: np.ndarray, totals: np.ndarray):
-        self.table, self.ends, self.totals = table, ends, totals
+    A word's occurrences, smoothed within its class, are dealt to the states as its own expected counts say and,
+    with the weight of ``shrink`` occurrences, as its class says: rare words go by class, frequent ones by
+    themselves, unseen ones by class alone.  ``totals`` are the sums over all words, so that each
+    state's probabilities add up to one.
+    """
 
+    def __init__(self, lexicon: Lexicon, counts: np.ndarray):
+        mass = class_mass(counts, lexicon.class_tokens)
+        self.lexicon, self.of_class = lexicon, mass.sum(0)
+        self.share = mass / self.of_class
+        self.shrink, self.totals = SHRINKS[-1], mass.sum(1)
 
-def _with_counts(blocks: DataFrame, table: DataFrame):
-    """Blocks, each with what the table says of its words."""
-    wanted = blocks.select(F.col("block").alias("of"), F.posexplode("words").alias("place", "word"))
-    found = wanted.join(table, "word").drop("word")
-    return blocks.groupBy("block").cogroup(found.groupBy("of"))
-
-
-def _of_block(left: pa.Table, right: pa.Table, model: Model, learned: tuple | None, lexicon: Lexicon):
-    """A block's words, their training counts, classes, documents as places and the model over its words."""
-    words = left.column("words")[0].as_py()
-    counts, n = np.zeros(len(words), np.int64), np.zeros((len(words), len(model.start)))
-    places = right.column("place").to_numpy()
-    counts[places] = right.column("c").to_numpy()
-    if learned is not None:
-        flat = right.column("n").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        n[places] = flat.reshape(-1, n.shape[1])
-    classes = lexicon.classes(words)
-    backoff = model.emit[:, np.append(classes, 0)] * 10 ** np.append(lexicon.within(classes, counts), 0.0)
-    lengths = np.array(left.column("lengths")[0].as_py(), np.int64)
-    flat = _unsqueezed(left.column("places")[0].as_py(), int(lengths.sum())).astype(np.int64)
-    texts = np.split(flat, np.cumsum(lengths)[:-1])
-    ends = None if learned is None else WordCounts(None, *learned)
-    return words, counts, classes, texts, model.over_words(ends, backoff, n)
+    def mass(self, classes: np.ndarray, c: np.ndarray, n: np.ndarray, shrink: float) -> np.ndarray:
+        """Weights ``[states, words]`` of words with training counts ``c`` and expected counts ``n``."""
+        tokens = self.of_class[classes] * 10 ** self.lexicon.within(classes, c)
+        return tokens * (n + shrink * self.share[:, classes]) / (c + shrink)
+
+    def fit(self, table: DataFrame) -> None:
+        """Takes the ``shrink`` under which words of the table foretell their own states best.
+
+        Each occurrence is held out in turn: its state is foretold from the word's other occurrences and the
+        class.  One pass sums that, and the totals, for every candidate.
+        """
+        states = len(self.totals)
+
+        def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums = np.zeros((len(SHRINKS), states + 1))
+            for batch in batches:
+                classes = self.lexicon.classes(batch.column("word").to_pylist())
+                c = batch.column("c").to_numpy()
+                n = batch.column("n").flatten().to_numpy().reshape(-1, states).T.astype(float)
+                share = self.share[:, classes]
+                for k, shrink in enumerate(SHRINKS):
+                    others = np.log((np.maximum(n - 1, 0) + shrink * share) / (np.maximum(c - 1, 0) + shrink))
+                    sums[k, 0] += (n * others).sum()
+                    sums[k, 1:] += self.mass(classes, c, n, shrink).sum(1)
+            for k, row in enumerate(sums.tolist()):
+                yield pa.record_batch([pa.array([k], pa.int32()), pa.array([row], pa.list_(pa.float64()))], ["k", "sums"])
+
+        found = table.mapInArrow(tried, "k int, sums array<double>").groupBy("k").agg(
+            F.array(*[F.sum(F.col("sums")[j]) for j in range(states + 1)]).alias("sums")
+        )
+        sums = {r.k: r.sums for r in found.collect()}
+        if sums:
+            best = max(sums, key=lambda k: (sums[k][0], -k))
+            self.shrink = SHRINKS[best]
+            self.totals = np.array(sums[best][1:])
+        else:
+            self.totals = np.zeros(states)
+        shared = np.arange(1 + OWN, CLASSES)
+        unseen = self.mass(shared, np.zeros(len(shared), np.int64), np.zeros((states, len(shared))), self.shrink)
+        self.totals += unseen.sum(1) + self.share[:, 0] * self.of_class[0]
+
+    def over(self, model: Model, classes: np.ndarray, c: np.ndarray, n: np.ndarray) -> Model:
+        """The model over words of a block; the end, which its class holds whole, is the last."""
+        emit = self.mass(classes, c, n, self.shrink)
+        emit[:, -1] = self.share[:, 0] * self.of_class[0]
+        return Model(model.start, model.move, emit / self.totals[:, None])
+
+
+def _texts(row: pa.RecordBatch, at: int) -> list[np.ndarray]:
+    """The documents of a block as places in its vocabulary, with the end after each."""
+    lengths = np.array(row.column("lengths")[at].as_py(), np.int64)
+    flat = _unsqueezed(row.column("places")[at].as_py(), int(lengths.sum())).astype(np.int64)
+    end = len(row.column("words")[at])
+    return [np.append(t, end) for t in np.split(flat, np.cumsum(lengths)[:-1])]
+
+
+def _in_step(sequences: list[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The sequences in groups of like length that move in step, each within ``CELLS``."""
+    sequences = sorted(sequences, key=len, reverse=True)
+    at = 0
+    while at < len(sequences):
+        many = max(CELLS // min(len(sequences[at]), STRETCH), 1)
+        yield sequences[at : at + many]
+        at += many
 
 
 def baum_welch_round(
-    blocks: DataFrame, vocabulary: DataFrame, model: Model, learned: WordCounts | None, lexicon: Lexicon
-) -> tuple[Model, WordCounts]:
-    """One round: expected counts of all training documents, by state and word, in a table.
+    blocks: DataFrame, model: Model, lexicon: Lexicon, by_word: bool
+) -> tuple[Model, DataFrame, np.ndarray]:
+    """One round over all training documents: the next model, and with ``by_word`` the table of expected counts.
 
-    A training document longer than ``STRETCH`` tokens counts as stretches of that length, so
-    the memory of a task is bounded; scoring is exact over whole texts.
+    What a word adds within its class is the same in all states and has no say in which state it comes
+    from, so a round needs the classes only, and no join.  Each task adds up its counts by class; those of single
+    words leave it in the last round alone.
     """
     states = len(model.start)
-    known = None if learned is None else (learned.ends, learned.totals)
-
-    def expect(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return pa.table([pa.array([], f.type) for f in arrow], schema=arrow)
-        words, totals, classes, texts, over = _of_block(left, right, model, known, lexicon)
-        held = left.column("held")[0].as_py()
-        end, waiting, size = len(words), [], 0
-        counts = np.zeros((states, end + 1 + states + 1))
-        for text, out in zip(texts, held, strict=True):
-            if out:
-                continue
-            s = np.append(text, end)
-            waiting += [s[at : at + STRETCH] for at in range(0, len(s), STRETCH)]
-            size += len(s)
-            if size >= 1 << 18:
-                over.expected_counts(waiting, counts)
-                waiting, size = [], 0
-        if waiting:
-            over.expected_counts(waiting, counts)
-        seen = np.nonzero(counts[:, :end].any(0))[0]
-        rest = np.arange(end, counts.shape[1])
-        n = pa.array(list(counts[:, np.concatenate([seen, rest])].T), pa.list_(pa.float64()))
-        none = [None] * len(rest)
-        return pa.table(
+
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.zeros((states, CLASSES + states + 1))
+        for batch in batches:
+            for at in range(batch.num_rows):
+                words = batch.column("words")[at].as_py()
+                classes = np.append(lexicon.classes(words), 0)
+                over = Model(model.start, model.move, model.emit[:, classes])
+                counts = np.zeros((states, len(classes) + states + 1))
+                held = batch.column("held")[at].as_py()
+                train = [t for t, out in zip(_texts(batch, at), held, strict=True) if not out]
+                for group in _in_step(train):
+                    over.expected_counts(group, counts)
+                for k in range(states):
+                    whole[k, :CLASSES] += np.bincount(classes, counts[k, : len(classes)], CLASSES)
+                whole[:, CLASSES:] += counts[:, len(classes) :]
+                if by_word:
+                    own = np.array(batch.column("counts")[at].as_py(), np.int64)
+                    seen = np.nonzero(own)[0]
+                    # Of 2 ** -12 an occurrence nothing hangs; fewer bits are fewer bytes to shuffle.
+                    n = np.rint(counts[:, seen].T * 4096) / 4096
+                    yield rows([words[k] for k in seen], None, own[seen], n)
+        yield rows(None, np.arange(whole.shape[1]), None, whole.T)
+
+    def rows(words, part, c, n: np.ndarray) -> pa.RecordBatch:
+        none = [None] * len(n)
+        flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * states, pa.int32()), pa.array(n.ravel()))
+        return pa.record_batch(
             [
-                pa.array([words[k] for k in seen] + none, pa.binary()),
-                pa.array([None] * len(seen) + list(range(len(rest))), pa.int32()),
-                pa.array(totals[seen].tolist() + none, pa.int64()), pa.array(classes[seen].tolist() + none, pa.int32()), n,
+                pa.array(words or none, pa.binary()), pa.array(none if part is None else part, pa.int32()),
+                pa.array(none if c is None else c, pa.int64()), flat,
             ],
-            schema=arrow,
+            ["word", "part", "c", "n"],
         )
 
-    arrow = pa.schema(
-        [("word", pa.binary()), ("part", pa.int32()), ("c", pa.int64()), ("class", pa.int32()), ("n", pa.list_(pa.float64()))]
-    )
-    table = vocabulary if learned is None else learned.table
-    partial = _with_counts(blocks, table).applyInArrow(expect, "word binary, part int, c bigint, class int, n array<double>")
-    by_state = F.array(*[F.sum(F.col("n")[k]) for k in range(states)])
-    sums = as_table(
-        partial.groupBy("word", "part").agg(F.max("c").alias("c"), F.max("class").alias("class"), by_state.alias("n")),
-        "hmm-expected",
+    sums = blocks.mapInArrow(expect, "word binary, part int, c bigint, n array<double>").groupBy("word", "part").agg(
+        F.sum("c").alias("c"), F.array(*[F.sum(F.col("n")[k]) for k in range(states)]).alias("n")
     )
+    if by_word:
+        sums = as_table(sums.withColumn("n", F.col("n").cast("array<float>")), "hmm-expected")
     counts = np.zeros((states, CLASSES + states + 1))
-    for r in sums.where("word is not null").groupBy("class").agg(by_state.alias("n")).collect():
-        counts[:, r["class"]] = r.n
-    for r in sums.where("word is null").collect():
-        counts[:, 0 if r.part == 0 else CLASSES + r.part - 1] = r.n
+    for r in sums.where("part is not null").collect():
+        counts[:, r.part] = r.n
     words = sums.where("word is not null").select("word", "c", "n")
-    return Model.of_counts(counts, lexicon.class_tokens), WordCounts(words, counts[:, 0], counts[:, :CLASSES].sum(1))
+    return Model.of_counts(counts, lexicon.class_tokens), words, counts[:, :CLASSES]
 
 
 def score_texts(
@@ -328,16 +395,15 @@ def score_texts(
     """Scores every document by a hidden Markov model learned from those not held out.
 
     ``held_out`` is a boolean column over ``docs``.  Tokens are words with A-Z lowered and one
-    end a document.  A state emits words: each training word by its own expected count in the state, plus
-    ``WEIGHT`` occurrences spread by class, which is what rare and unseen words go by.  Each of
-    the ``OWN`` most frequent words is a class, other words share one of ``SHARED`` by their last four
-    bytes, and within a class words keep their share of its training tokens, an unseen word
+    end a document.  A state emits words: each training word by its own expected count in the state and that of
+    its class, mixed as fits the corpus, unseen words by class; see :class:`Emissions`.  Each of the ``OWN`` most frequent words is a class, other words share one of ``SHARED`` by their
+    last four bytes, and within a class words keep their share of its training tokens, an unseen word
     that of one occurrence.  Counts by word, and by state and word, are tables that grow with the
-    vocabulary.  Each Baum-Welch round sums expected counts over all training documents; the score
-    is the exact log10 probability of the whole text by the scaled forward recursion.
+    vocabulary.  Each Baum-Welch round sums expected counts over all training documents, whole; the
+    score is the exact log10 probability of the whole text by the scaled forward recursion.
 
-    Blocks of some megabytes look their own vocabularies up in the count table, so neither the
-    vocabulary nor a frequent word gathers in one task.
+    Documents lie in blocks of some megabytes.  For the scores alone the blocks look their vocabularies
+    up in the count table, so neither the vocabulary nor a frequent word gathers in one task.
 
     Null texts count as empty: one end.  Rows with null ids and repeated rows count as
     documents.  With nothing to train on, all counts are 0 and the model is its starting
@@ -357,10 +423,13 @@ def score_texts(
     )
     train_docs = blocks.agg(F.sum(F.size(F.filter("held", lambda h: ~h)))).first()[0] or 0
     lexicon = Lexicon(vocabulary, train_docs)
-    model, learned = Model.first(lexicon.class_tokens, states), None
-    for _ in range(rounds if train_docs else 0):
-        model, learned = baum_welch_round(blocks, vocabulary, model, learned, lexicon)
-    known = None if learned is None else (learned.ends, learned.totals)
+    model, table = Model.first(lexicon.class_tokens, states), vocabulary
+    emissions = None
+    for k in range(rounds if train_docs else 0):
+        model, words, counts = baum_welch_round(blocks, model, lexicon, by_word=k == rounds - 1)
+        if k == rounds - 1:
+            table, emissions = words, Emissions(lexicon, counts)
+            emissions.fit(table)
     id_field = T.StructField("id", blocks.schema["ids"].dataType.elementType)
     schema = T.StructType(
         [
@@ -371,22 +440,31 @@ def score_texts(
     )
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        words, counts, _, texts, over = _of_block(left, right, model, known, lexicon)
+        words = left.column("words")[0].as_py()
+        counts, n = np.zeros(len(words) + 1, np.int64), np.zeros((states, len(words) + 1))
+        place = right.column("place").to_numpy()
+        counts[place] = right.column("c").to_numpy()
+        counts[-1] = lexicon.train_docs
+        classes = np.append(lexicon.classes(words), 0)
+        if emissions is None:
+            over = Model(model.start, model.move, model.emit[:, classes] * 10 ** lexicon.within(classes, counts))
+        else:
+            n[:, place] = right.column("n").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, states).T
+            over = emissions.over(model, classes, counts, n)
+        texts = _texts(left, 0)
         base = lexicon.base(counts)
-        end = float(lexicon.base(np.array([lexicon.train_docs]))[0])
-        total = [
-            over.log10_likelihood([np.append(t, len(words)) for t in texts[at : at + 2048]])
-            for at in range(0, len(texts), 2048)
-        ]
         ids, held = (left.column(c).combine_chunks().flatten() for c in ("ids", "held"))
         return pa.table(
             [
-                ids, held, pa.array([len(t) + 1 for t in texts], pa.int64()),
-                pa.array([int((counts[t] > 0).sum()) + (lexicon.train_docs > 0) for t in texts], pa.int64()),
+                ids, held, pa.array([len(t) for t in texts], pa.int64()),
+                pa.array([int((counts[t] > 0).sum()) for t in texts], pa.int64()),
                 pa.array(np.full(len(texts), lexicon.train_tokens, np.int64)),
-                pa.array([float(base[t].sum()) + end for t in texts], pa.float64()), pa.array(np.concatenate(total)),
+                pa.array([float(base[t].sum()) for t in texts], pa.float64()), pa.array(over.log10_likelihood(texts)),
             ],
             names=schema.names,
         )
 
-    return _with_counts(blocks, vocabulary if learned is None else learned.table).applyInArrow(score, schema)
+    wanted = blocks.select(F.col("block").alias("of"), F.posexplode("words").alias("place", "word"))
+    found = wanted.join(table, "word").drop("word")
+    needed = blocks.select("block", "words", "ids", "held", "lengths", "places")
+    return needed.groupBy("block").cogroup(found.groupBy("of")).applyInArrow(score, schema)
