@@ -74,8 +74,12 @@ def remove_boilerplate(
     lines = as_table(line_table(docs, id_column, text_column, site_column), "lines")
     shared = as_table(widespread(lines, min_sites), "line-shared")
     found = as_table(lines.drop("site").join(shared, "hash"), "line-found")
-    first = found.groupBy("hash").agg(
-        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row_key", "place")).alias("first")
+    # Stored, both sides of the join are dealt for it alone, so Spark can split a very common line.
+    first = as_table(
+        found.groupBy("hash").agg(
+            F.min(F.struct(F.col("id").isNull().alias("last"), "id", "row_key", "place")).alias("first")
+        ),
+        "line-first",
     )
     gone = (
         found.join(first, "hash")
