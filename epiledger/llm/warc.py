@@ -65,7 +65,7 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_
 
     A null html is an empty payload.  A null url is left out; tabs, line ends and
     spaces in one are percent-encoded.  Null ids come before all others; of repeated largest ids, one row
-    is the response.
+    is the response.  Of an empty table the archives hold no record.
     """
     text = F.coalesce(F.col("html"), F.lit(""))
     staged = f"{shared_folder(pages.sparkSession).rstrip('/')}/warc-pages-{uuid.uuid4().hex}"
@@ -80,7 +80,8 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, records_per_
         .agg(F.max(F.struct("page_id", "row")).alias("kept"))
         .select("digest", F.struct(F.col("kept.page_id").alias("page_id"), F.col("kept.row").alias("row")).alias("kept"))
     )
-    joined = rows.join(first, "digest", "left")
+    # Stored, both sides of the join are dealt for it alone, so Spark can split a payload that very many pages share.
+    joined = rows.join(as_table(first, "warc-kept"), "digest", "left")
     again = F.coalesce(F.col("kept.row") != F.col("row"), F.lit(False))
     escaped = F.col("url")
     for code in (9, 10, 13, 32):
@@ -141,7 +142,7 @@ def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataF
     """One row per record; digests and sizes are those of the payload read, where there is one.
 
     Files are opened by Spark and read record by record.  Without ``payloads`` the
-    bytes themselves are left out.
+    bytes themselves are left out.  Archives without records give an empty table.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +186,8 @@ def captures(records: DataFrame) -> DataFrame:
     Request and metadata records are joined to the record they name as concurrent; of several, the
     one with the smallest identifier counts.  ``original`` is the capture a revisit refers to, with
     its size and metadata.  A response many revisits refer to is on the side with one row a
-    key, so Spark can split the other.
+    key, so Spark can split the other.  Repeated records give repeated captures; of an empty table the
+    result is empty.
     """
 
     def concurrent(kind: str) -> DataFrame:
@@ -208,4 +210,8 @@ def captures(records: DataFrame) -> DataFrame:
         F.col("record_id").alias("refers_to"),
         F.struct("record_id", F.col("capture.payload_bytes").alias("payload_bytes"), "metadata").alias("original"),
     )
-    return whole.join(original, "refers_to", "left").select("record_id", "capture", "request", "metadata", "original")
+    # Responses refer to nothing; in the join their nulls would all meet in one task.
+    revisits = whole.where("refers_to IS NOT NULL").join(original, "refers_to", "left")
+    none = F.lit(None).cast(original.schema["original"].dataType)
+    both = revisits.unionByName(whole.where("refers_to IS NULL").withColumn("original", none))
+    return both.select("record_id", "capture", "request", "metadata", "original")
