@@ -240,27 +240,33 @@ def with_company(nodes: DataFrame) -> DataFrame:
 
 
 def with_shared_shingles(texts: DataFrame, words: int = 5) -> DataFrame:
-    """Of each ``node`` with a ``text``: its shingles' hashes ``codes``, their number ``n_shingles``, and
-    ``n_shared`` that other nodes have too.
+    """Of each ``node`` with a ``text`` and ``bands``: its shingles' hashes ``codes``, their number ``n_shingles``,
+    and ``n_shared`` that other nodes have too.
 
     Equal hashes of different shingles can only raise ``n_shared``.
     """
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 1):
-                found = [text_codes(t.as_py(), words).view(np.int64) for t in batch.column(1)]
-                yield pa.record_batch([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "codes"])
+            for batch in slices(whole, 2):
+                found = [text_codes(t.as_py(), words).view(np.int64) for t in batch.column(2)]
+                yield pa.record_batch(
+                    [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], ["node", "bands", "codes"]
+                )
 
-    table = as_table(texts.select("node", "text").mapInArrow(codes, "node long, codes array<long>"), "similar-shingles")
-    own = (
+    table = as_table(
+        texts.select("node", "bands", "text").mapInArrow(codes, "node long, bands array<long>, codes array<long>"),
+        "similar-shingles",
+    )
+    own = as_table(
         table.select("node", F.explode("codes").alias("code"))
         .groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
-        .where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("n_own"))
+        .where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("n_own")),
+        "similar-own",
     )
     n_shingles = F.size("codes").cast("long")
     return table.join(own, "node", "left").select(
-        "node", "codes", n_shingles.alias("n_shingles"),
+        "node", "bands", "codes", n_shingles.alias("n_shingles"),
         (n_shingles - F.coalesce("n_own", F.lit(0))).alias("n_shared"),
     )
 
@@ -301,8 +307,9 @@ def met_in_bands(nodes: DataFrame, similarity: float) -> DataFrame:
     own = nodes.select(
         F.posexplode("bands").alias("band", "key"), F.struct("node", "label", "n_shingles", "n_shared", "bands").alias("own")
     )
-    mixed = own.groupBy("key").agg(F.min("own.label").alias("low"), F.max("own.label").alias("high")).where("low <> high")
-    own = own.join(mixed.select("key"), "key", "left_semi")
+    labels = nodes.select(F.explode("bands").alias("key"), "label").groupBy("key")
+    mixed = labels.agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
+    own = own.join(as_table(mixed.select("key"), "similar-mixed"), "key", "left_semi")
     agree = F.zip_with("a.bands", "b.bands", lambda x, y: x == y)
     met = own.select("key", "band", F.col("own").alias("a")).join(
         own.select(F.col("key").alias("key_b"), F.col("own").alias("b")),
@@ -348,23 +355,25 @@ def similar_texts(
         "similar-nodes",
     )
     company = as_table(
-        nodes.select("node", "row_key").join(with_company(nodes.select("node", "bands")), "node"), "similar-company"
+        nodes.select("node", "row_key", "bands").join(with_company(nodes.select("node", "bands")), "node"),
+        "similar-company",
     )
     texts = docs.select(row_key(id_column, text_column).alias("row_key"), F.col(text_column).alias("text"))
     counted = with_shared_shingles(texts.join(company, "row_key").dropDuplicates(["node"]), words)
     able = as_table(
-        counted.where(F.col("n_shared") >= similarity * F.col("n_shingles") - 1e-6)
-        .join(nodes.select("node", "bands"), "node"),
-        "similar-able",
+        counted.where(F.col("n_shared") >= similarity * F.col("n_shingles") - 1e-6), "similar-able"
     )
     keyed = able.drop("codes")
 
     def verified(met: DataFrame, name: str) -> DataFrame:
-        for end in ("a", "b"):
-            met = met.join(able.select(F.col("node").alias(end), F.col("codes").alias(f"{end}_codes")), end)
-        common = F.size(F.array_intersect("a_codes", "b_codes"))
-        near = common * (1 + similarity) >= (F.size("a_codes") + F.size("b_codes")) * similarity - 1e-6
-        return as_table(met.where(near).select("a", "b"), name)
+        """Those that are as similar as asked.  Of each pair the two sets travel once, and meet by the pair."""
+        pairs = as_table(met, f"{name}-met")
+        ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
+        sets = ends.join(able.select("node", "codes"), "node").groupBy("a", "b").agg(F.collect_list("codes").alias("sets"))
+        one, two = F.col("sets")[0], F.col("sets")[1]
+        common = F.size(F.array_intersect(one, two))
+        near = common * (1 + similarity) >= (F.size(one) + F.size(two)) * similarity - 1e-6
+        return as_table(sets.where(near).select("a", "b"), name)
 
     def labelled(some: DataFrame, links: DataFrame) -> DataFrame:
         labels = components(links).withColumnRenamed("node", "linked")
