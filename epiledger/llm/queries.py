@@ -39,6 +39,7 @@ URL_RULES = [
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of all documents, sizes near equal; see :func:`shard_by_size` for nulls, equal and repeated rows."""
     return shard_by_size(read(spark, sf_dir, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
@@ -46,14 +47,17 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; see :func:`score_texts` for nulls, repeated rows and nothing to learn from."""
     return score_texts(read(spark, sf_dir, "documents"), in_fold("doc_id", 7)).withColumnRenamed("id", "doc_id")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of all documents; see :func:`judge` for nulls and repeated rows."""
     return judge(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents; see :func:`identify` for nulls and :func:`learn` for what is learned from."""
     docs = read(spark, sf_dir, "documents")
     languages = learn(docs, ~in_fold("doc_id", 4))
     return identify(docs.select("doc_id", "text"), languages).select(
@@ -62,11 +66,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page; see :func:`judge_urls` for nulls and urls without a host."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(read(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences; see :func:`pack` for nulls and long texts."""
     packed = pack(read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
     return packed.select(
         F.col("id").alias("doc_id"), F.col("piece").cast("int").alias("piece"), "start", "length",
@@ -75,17 +81,20 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark item that each document leaks, if any; see :func:`decontaminate` for nulls and short items."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate(docs, read(spark, sf_dir, "benchmark"), COVERAGE)
     return found.select("doc_id", "contaminated", "item_id", "coverage")
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that many sites share; see :func:`remove_boilerplate` for nulls and ties."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return remove_boilerplate(docs, MIN_SITES).select("doc_id", "text", "n_lines", "n_removed")
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Captures of all pages as read back from archives; see :func:`write_archives` for nulls, ties and repeated ids."""
     folder = f"{shared_folder(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     write_archives(read(spark, sf_dir, "pages"), folder)
     found = captures(as_table(read_records(spark, folder, payloads=False), "warc-records"))
@@ -100,6 +109,7 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of all documents; see :func:`near_duplicates` for nulls and repeated rows."""
     found = near_duplicates(read(spark, sf_dir, "documents"))
     return found.select(
         F.col("id").alias("doc_id"),
