@@ -23,6 +23,7 @@ CLASSES = 1 + OWN + SHARED
 ROUNDS = 4
 STRETCH = 1024  # tokens between two kept states of a long document
 CELLS = 1 << 18  # tokens of documents that move in step
+KEPT = 1 << 20  # tokens whose forward vectors a task keeps; of more it computes them again
 BLOCK_BYTES = 16 << 20
 SHRINKS = tuple(2.0**k for k in range(-1, 11))  # occurrences that the states of a word's class may count as
 LN10 = math.log(10)
@@ -144,6 +145,8 @@ class Model:
 
     def __init__(self, start: np.ndarray, move: np.ndarray, emit: np.ndarray):
         self.start, self.move, self.emit = start, move, emit
+        self.by_word = np.ascontiguousarray(emit.T)
+        self.single = tuple(np.ascontiguousarray(x, np.float32) for x in (start, move, self.by_word))
 
     @staticmethod
     def first(class_tokens: np.ndarray, states: int, seed: int = 7) -> Model:
@@ -172,7 +175,7 @@ class Model:
         lengths = np.array([len(sequences[k]) for k in order])
         flat = np.concatenate([sequences[k] for k in order]) if order else np.empty(0, np.int64)
         begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if order else lengths
-        emit, total, alpha = np.ascontiguousarray(self.emit.T), np.zeros(len(order)), None
+        emit, total, alpha = self.by_word, np.zeros(len(order)), None
         running = np.searchsorted(-lengths, -np.arange(lengths.max(initial=0)), "left")
         for t, n in enumerate(running.tolist()):
             step = emit[flat[begin[:n] + t]]
@@ -186,39 +189,51 @@ class Model:
 
     def _forward(self, sequences: list[np.ndarray], at: int, before: np.ndarray | None):
         """Scaled forward vectors of one stretch of sequences, longest first; ``before``: those at its eve."""
+        start, move, by_word = self.single
         parts = [s[at : at + STRETCH] for s in sequences]
         lengths = np.array([len(p) for p in parts])
         classes = np.zeros((lengths[0], len(parts)), np.int64)
         for k, p in enumerate(parts):
             classes[: len(p), k] = p
         alive = np.arange(lengths[0])[:, None] < lengths
-        step = self.emit.T[classes] * alive[:, :, None]
-        alpha = np.zeros_like(step)
+        step = by_word[classes]
+        alpha, ones = np.empty_like(step), np.ones((len(start), 1), np.float32)
+        if not alive[-1].all():
+            step[~alive] = 0
+            alpha[~alive] = 0
+        come = start if before is None else before @ move
         for t, n in enumerate(alive.sum(1).tolist()):
-            come = alpha[t - 1, :n] @ self.move if t else self.start if before is None else before[:n] @ self.move
-            now = come * step[t, :n]
-            scale = now.sum(1)[:, None]
-            alpha[t, :n] = now / scale
-            step[t, :n] /= scale
+            if t:
+                come = alpha[t - 1, :n] @ move
+            now = np.multiply(come, step[t, :n], out=alpha[t, :n])
+            scale = 1 / (now @ ones)
+            now *= scale
+            step[t, :n] *= scale
         return classes, alive, step, alpha
 
     def expected_counts(self, sequences: list[np.ndarray], counts: np.ndarray) -> None:
-        """Adds the expected emissions, moves and starts of the sequences (Baum-Welch), exactly.
+        """Adds the expected emissions, moves and starts of the sequences (Baum-Welch).
 
         A long sequence is gone through by stretches: forwards, keeping the state at each one's end, then
-        backwards, where a stretch's vectors are computed again from the state kept before it.  So the
-        memory is that of one stretch and nothing is cut.
+        backwards.  A stretch's vectors are computed again from the state kept before it where ``KEPT`` tokens
+        do not hold all, so memory is bounded and nothing is cut.  Vectors are scaled at every token
+        and held in single precision, counts in double.
         """
         sequences = sorted(sequences, key=len, reverse=True)
-        eves: list[np.ndarray | None] = [None]
-        for at in range(STRETCH, len(sequences[0]), STRETCH):
-            running = sum(len(s) > at - STRETCH for s in sequences)
-            alpha = self._forward(sequences[:running], at - STRETCH, eves[-1])[3]
-            eves.append(alpha[-1, : sum(len(s) > at for s in sequences)].copy())
-        after = np.zeros((0, len(self.start)))
-        for j in reversed(range(len(eves))):
-            running = sum(len(s) > j * STRETCH for s in sequences)
-            after = self._count(*self._forward(sequences[:running], j * STRETCH, eves[j]), after, j == 0, counts)
+        keep = sum(map(len, sequences)) <= KEPT
+        eve, passes = None, []
+        for at in range(0, len(sequences[0]), STRETCH):
+            running = sequences[: sum(len(s) > at for s in sequences)]
+            found = self._forward(running, at, eve)
+            last = at + STRETCH >= len(sequences[0])
+            passes.append((running, eve, found if keep or last else None))
+            eve = found[3][-1, : sum(len(s) > at + STRETCH for s in sequences)].copy()
+        after = np.zeros((0, len(self.start)), np.float32)
+        while passes:
+            running, eve, found = passes.pop()
+            first = not passes
+            found = found or self._forward(running, len(passes) * STRETCH, eve)
+            after = self._count(*found, after, first, counts)
 
     def _count(self, classes, alive, step, alpha, after: np.ndarray, first: bool, counts: np.ndarray) -> np.ndarray:
         """Adds the counts of one stretch; ``after``: for those that go on, emission times what follows.
@@ -226,18 +241,23 @@ class Model:
         Returns the same for the stretch before.
         """
         states, n_classes, go_on = len(self.start), self.emit.shape[1], len(after)
-        back, moves = self.move.T, alpha[-1, :go_on].T @ after
-        beta, gamma, running = np.ones(alpha.shape[1:]), alpha.copy(), alive.sum(1).tolist()
+        back = np.ascontiguousarray(self.single[1].T)
+        moves = alpha[-1, :go_on].T @ after
+        beta, running = np.ones(alpha.shape[1:], np.float32), alive.sum(1).tolist()
         beta[:go_on] = after @ back
+        gamma = alpha.copy()
         gamma[-1, :go_on] *= beta[:go_on]
         for t in range(len(step) - 2, -1, -1):
             n = running[t + 1]
-            step[t + 1, :n] *= beta[:n]
-            beta[:n] = step[t + 1, :n] @ back
+            ahead = step[t + 1, :n]
+            ahead *= beta[:n]
+            np.matmul(ahead, back, out=beta[:n])
             gamma[t, :n] *= beta[:n]
-        moves += alpha[:-1].reshape(-1, states).T @ step[1:].reshape(-1, states)
-        seen = alive.ravel()
-        flat, of_state = classes.ravel()[seen], gamma.reshape(-1, states)[seen]
+        moves = moves + alpha[:-1].reshape(-1, states).T @ step[1:].reshape(-1, states)
+        flat, of_state = classes, gamma.reshape(-1, states)
+        if not alive[-1].all():
+            flat, of_state = classes[alive], of_state[alive.ravel()]
+        flat = flat.ravel()
         for k in range(states):
             counts[k, :n_classes] += np.bincount(flat, of_state[:, k], n_classes)
         counts[:, n_classes : n_classes + states] += self.move * moves
