@@ -15,6 +15,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 from epiledger.plans.reports import Inputs, results_of  # noqa: E402
 from epiledger.sources import testbed  # noqa: E402
 from epiledger.sources.shared import scratch_tables  # noqa: E402
+from epiledger.sources.sinks import for_each_result  # noqa: E402
 from verification.queries import ORDER, QUERIES  # noqa: E402
 
 HEADLINE = [
@@ -50,8 +51,9 @@ def shared_run(spark: SparkSession, sf_dir: str) -> None:
     s = testbed.load(spark, sf_dir)
     inputs = Inputs(s.cases, s.index, s.vaccinations, s.hospitalizations, s.demographics)
     with scratch_tables(spark):
-        for result in results_of(inputs, order_by=ORDER).values():
-            result.write.format("noop").mode("overwrite").save()
+        for_each_result(
+            results_of(inputs, order_by=ORDER), lambda _, df: df.write.format("noop").mode("overwrite").save()
+        )
 
 
 def main() -> None:

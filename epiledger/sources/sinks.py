@@ -3,18 +3,38 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from epiledger.sources.shared import as_table
 
 
+def for_each_result(
+    results: Mapping[str, DataFrame], action: Callable[[str, DataFrame], None], at_once: int = 4
+) -> None:
+    """Runs an action on every result, some side by side.
+
+    Results are jobs that do not wait for each other: while one ends in a few tasks or is still being
+    planned, another keeps the executors busy.  The first failure is raised once all have ended.
+    """
+    if not results:
+        return
+    session = next(iter(results.values())).sparkSession
+    run = inheritable_thread_target(session)(lambda item: action(*item))
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        for done in [pool.submit(run, item) for item in results.items()]:
+            done.result()
+
+
 def write_results(results: Mapping[str, DataFrame], base: str) -> None:
     """Parquet, one directory per result, overwritten."""
-    for name, df in results.items():
-        df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{name}")
+    for_each_result(
+        results, lambda name, df: df.write.mode("overwrite").parquet(f"{base.rstrip('/')}/{name}")
+    )
 
 
 def write_compact(df: DataFrame, path: str, rows_per_file: int = 5_000_000) -> int:
