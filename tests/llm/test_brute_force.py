@@ -41,7 +41,7 @@ def best_of_all_sets(languages, text):
 def test_mixtures_equal_the_best_of_all_sets(spark):
     docs = read(spark, FOLD, "documents")
     languages = learn(docs, ~in_fold("doc_id", 4))
-    rows = [r for r in docs.where(in_fold("doc_id", 4) & "text IS NOT NULL AND lang IS NOT NULL").collect()]
+    rows = [r for r in docs.where(in_fold("doc_id", 4)).collect() if r.text and r.lang]
     texts = [r.text for r in rows if 40 < len(r.text.split()) < 400][:40]
     mixed = [f"{a[: len(a) * 3 // 4]} {b[: len(b) // 4]}" for a, b in zip(texts, texts[7:], strict=False)]
     found, score = languages.predict(texts + mixed)
