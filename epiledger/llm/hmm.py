@@ -9,6 +9,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +34,30 @@ def ending_class(word: bytes) -> int:
     return 1 + OWN + zlib.crc32(word[-4:]) % SHARED
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = (table >> np.uint32(1)) ^ np.where(table & np.uint32(1), np.uint32(0xEDB88320), np.uint32(0))
+    return table
+
+
+CRC = _crc_table()
+
+
+def ending_classes(words: pa.BinaryArray) -> np.ndarray:
+    """:func:`ending_class` of all words, by columns of bytes."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    held = words.buffers()[2]
+    data = np.frombuffer(held, np.uint8) if held and held.size else np.zeros(1, np.uint8)
+    ends, sizes = offsets[1:].astype(np.int64), np.diff(offsets)
+    crc = np.full(len(words), 0xFFFFFFFF, np.uint32)
+    for back in (4, 3, 2, 1):
+        there = sizes >= back
+        byte = data[np.where(there, ends - back, 0)]
+        crc = np.where(there, CRC[(crc ^ byte) & np.uint32(0xFF)] ^ (crc >> np.uint32(8)), crc)
+    return 1 + OWN + ((crc ^ np.uint32(0xFFFFFFFF)) % SHARED).astype(np.int64)
+
+
 def _squeezed(places: np.ndarray) -> bytes:
     """32-bit numbers, bytes of equal weight side by side, compressed."""
     return pa.compress(places.view(np.uint8).reshape(-1, 4).T.tobytes(), "zstd", asbytes=True)
@@ -126,8 +151,12 @@ class Lexicon:
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 1) / (self.train_tokens + self.distinct + 1))
 
-    def classes(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter((self.own.get(w) or ending_class(w) for w in words), np.int64, len(words))
+    def classes(self, words: pa.BinaryArray | list[bytes]) -> np.ndarray:
+        words = words if isinstance(words, pa.Array) else pa.array(words, pa.binary())
+        if not len(words):
+            return np.empty(0, np.int64)
+        own = pc.fill_null(pc.index_in(words, value_set=pa.array(list(self.own), pa.binary())), -1).to_numpy()
+        return np.where(own >= 0, own + 1, ending_classes(words))
 
     def within(self, classes: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 P(word | class); one unseen word a class has the weight of one occurrence."""
@@ -297,7 +326,7 @@ class Emissions:
         def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sums = np.zeros((len(SHRINKS), states + 1))
             for batch in batches:
-                classes = self.lexicon.classes(batch.column("word").to_pylist())
+                classes = self.lexicon.classes(batch.column("word"))
                 c = batch.column("c").to_numpy()
                 n = batch.column("n").flatten().to_numpy().reshape(-1, states).T.astype(float)
                 share = self.share[:, classes]
@@ -362,7 +391,7 @@ def baum_welch_round(
         whole = np.zeros((states, CLASSES + states + 1))
         for batch in batches:
             for at in range(batch.num_rows):
-                words = batch.column("words")[at].as_py()
+                words = batch.column("words")[at].values
                 classes = np.append(lexicon.classes(words), 0)
                 over = Model(model.start, model.move, model.emit[:, classes])
                 counts = np.zeros((states, len(classes) + states + 1))
@@ -374,11 +403,11 @@ def baum_welch_round(
                     whole[k, :CLASSES] += np.bincount(classes, counts[k, : len(classes)], CLASSES)
                 whole[:, CLASSES:] += counts[:, len(classes) :]
                 if by_word:
-                    own = np.array(batch.column("counts")[at].as_py(), np.int64)
+                    own = batch.column("counts")[at].values.to_numpy()
                     seen = np.nonzero(own)[0]
                     # Of 2 ** -12 an occurrence nothing hangs; fewer bits are fewer bytes to shuffle.
                     n = np.rint(counts[:, seen].T * 4096) / 4096
-                    yield rows([words[k] for k in seen], None, own[seen], n)
+                    yield rows(words.take(pa.array(seen)), None, own[seen], n)
         yield rows(None, np.arange(whole.shape[1]), None, whole.T)
 
     def rows(words, part, c, n: np.ndarray) -> pa.RecordBatch:
@@ -386,7 +415,7 @@ def baum_welch_round(
         flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * states, pa.int32()), pa.array(n.ravel()))
         return pa.record_batch(
             [
-                pa.array(words or none, pa.binary()), pa.array(none if part is None else part, pa.int32()),
+                pa.array(none, pa.binary()) if words is None else words, pa.array(none if part is None else part, pa.int32()),
                 pa.array(none if c is None else c, pa.int64()), flat,
             ],
             ["word", "part", "c", "n"],
@@ -460,7 +489,7 @@ def score_texts(
     )
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        words = left.column("words")[0].as_py()
+        words = left.column("words")[0].values
         counts, n = np.zeros(len(words) + 1, np.int64), np.zeros((states, len(words) + 1))
         place = right.column("place").to_numpy()
         counts[place] = right.column("c").to_numpy()

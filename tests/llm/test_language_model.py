@@ -1,6 +1,7 @@
 """The language model: exact counts over long texts, probabilities that add up, gain on unseen texts."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -61,6 +62,16 @@ def test_words_within_classes_add_up_to_one(spark):
     assert lexicon.within(unseen, np.array([0]))[0] == np.log10(1.0)
 
 
+def test_classes_of_all_words_are_those_of_each():
+    words = [b"", b"a", b"ab", b"abc", b"abcd", b"abcde", "\u00e9t\u00e9".encode(), b"\xff\x00\xff\x80", b"own", b"word" * 50]
+    lexicon = Lexicon.__new__(Lexicon)
+    lexicon.own = {b"own": 1, b"ab": 2}
+    expected = [lexicon.own.get(w) or hmm.ending_class(w) for w in words]
+    whole = pa.array([b"before", *words, b"after"], pa.binary())
+    assert lexicon.classes(words).tolist() == lexicon.classes(whole.slice(1, len(words))).tolist() == expected
+    assert lexicon.classes([]).tolist() == []
+
+
 def test_unseen_texts_score_above_the_base(spark):
     scores = score_texts(read(spark, FOLD, "documents"), in_fold("doc_id", 7))
     held = scores.where("held_out AND n_tokens > 1").agg(
