@@ -1,8 +1,8 @@
-"""Near-duplicates by SimHash and multi-index hashing, and by MinHash with an exact check.
+"""Near-duplicates by SimHash and multi-index hashing, alone and with an exact check.
 
 :func:`near_duplicates` links 64-bit fingerprints a few bits apart.  Texts with a similarity of 0.8
 are about ten bits apart there, too many for selective lookups; :func:`similar_texts` finds
-those by MinHash and compares their shingles.
+those by MinHash beside the fingerprints and compares the shingles of all that meet.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from epiledger.llm.common import row_key, slices
 from epiledger.llm.graph import components
-from epiledger.sources.shared import as_table
+from epiledger.sources.shared import as_table, scratch_tables
 
 SEED = 42
 
@@ -197,7 +197,7 @@ def band_keys(shingles: np.ndarray) -> np.ndarray:
 def with_bands(
     docs: DataFrame, words: int = 5, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """The id, a row key, the MD5 of the set of shingles and the band keys of each document."""
+    """The id, a row key, the fingerprint, the MD5 of the set of shingles and the band keys of each document."""
     source = docs.select(
         F.col(id_column).alias("id"), F.col(text_column).alias("text"),
         row_key(id_column, text_column).alias("row_key"),
@@ -206,22 +206,24 @@ def with_bands(
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, 1):
-                keys, bands = [], []
-                for text in batch.column(1):
-                    shingles = text_codes(text.as_py(), words)
+                prints, keys, bands = np.zeros(batch.num_rows, np.uint64), [], []
+                for k, scalar in enumerate(batch.column(1)):
+                    text = scalar.as_py()
+                    prints[k] = simhash(text)
+                    shingles = text_codes(text, words)
                     keys.append(hashlib.md5(shingles.tobytes()).digest())
                     bands.append(band_keys(shingles))
+                columns = [pa.array(prints.view(np.int64)), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))]
                 yield pa.record_batch(
-                    [batch.column(0), batch.column(2), pa.array(keys, pa.binary()), pa.array(bands, pa.list_(pa.int64()))],
-                    ["id", "row_key", "print_key", "bands"],
+                    [batch.column(0), batch.column(2), *columns], ["id", "row_key", "fingerprint", "print_key", "bands"]
                 )
 
     return source.mapInArrow(
         tag,
         T.StructType(
             [
-                source.schema["id"], source.schema["row_key"], T.StructField("print_key", T.BinaryType()),
-                T.StructField("bands", T.ArrayType(T.LongType())),
+                source.schema["id"], source.schema["row_key"], T.StructField("fingerprint", T.LongType()),
+                T.StructField("print_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
             ]
         ),
     )
@@ -239,35 +241,39 @@ def with_company(nodes: DataFrame) -> DataFrame:
     return own.join(shared, "key", "left_semi").select("node").distinct()
 
 
-def with_shared_shingles(texts: DataFrame, words: int = 5) -> DataFrame:
-    """Of each ``node`` with a ``text`` and ``bands``: its shingles' hashes ``codes``, their number ``n_shingles``,
-    and ``n_shared`` that other nodes have too.
+def with_linked_fingerprints(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """The ``node`` of those whose ``fingerprint`` another node has too or is an end of a link."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("fingerprint"))
+    several = nodes.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint")
+    return nodes.join(ends.unionByName(several).distinct(), "fingerprint", "left_semi").select("node")
 
-    Equal hashes of different shingles can only raise ``n_shared``.
-    """
+
+def shingle_sets(texts: DataFrame, words: int = 5) -> DataFrame:
+    """The ``node``, the hashes of its ``text``'s shingles ``codes`` and their number ``n_shingles``."""
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, 2):
-                found = [text_codes(t.as_py(), words).view(np.int64) for t in batch.column(2)]
-                yield pa.record_batch(
-                    [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], ["node", "bands", "codes"]
-                )
+            for batch in slices(whole, 1):
+                found = [text_codes(t.as_py(), words).view(np.int64) for t in batch.column(1)]
+                columns = [batch.column(0), pa.array(found, pa.list_(pa.int64())), pa.array([len(f) for f in found], pa.int64())]
+                yield pa.record_batch(columns, ["node", "codes", "n_shingles"])
 
-    table = as_table(
-        texts.select("node", "bands", "text").mapInArrow(codes, "node long, bands array<long>, codes array<long>"),
-        "similar-shingles",
-    )
+    return texts.select("node", "text").mapInArrow(codes, "node long, codes array<long>, n_shingles long")
+
+
+def shared_shingles(sets: DataFrame) -> DataFrame:
+    """Of each ``node`` of a stored table of sets ``n_shingles``, and ``n_shared`` that other nodes have too.
+
+    Equal hashes of different shingles can only raise ``n_shared``.
+    """
     own = as_table(
-        table.select("node", F.explode("codes").alias("code"))
+        sets.select("node", F.explode("codes").alias("code"))
         .groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
         .where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("n_own")),
         "similar-own",
     )
-    n_shingles = F.size("codes").cast("long")
-    return table.join(own, "node", "left").select(
-        "node", "bands", "codes", n_shingles.alias("n_shingles"),
-        (n_shingles - F.coalesce("n_own", F.lit(0))).alias("n_shared"),
+    return sets.select("node", "n_shingles").join(own, "node", "left").select(
+        "node", "n_shingles", (F.col("n_shingles") - F.coalesce("n_own", F.lit(0))).alias("n_shared")
     )
 
 
@@ -278,6 +284,44 @@ def _may_link(a: str, b: str, similarity: float) -> Column:
     return common * (1 + similarity) >= both * similarity - 1e-6
 
 
+def met_by_fingerprint(nodes: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (``a``, ``b``), a < b, of each node with one of its own fingerprint and one of the least linked to it.
+
+    Pairs whose counts rule out the similarity are left out.
+    """
+    own = nodes.select("fingerprint", F.struct("node", "n_shingles", "n_shared").alias("b"))
+    heads = own.groupBy("fingerprint").agg(F.min("b").alias("a"))
+    least = links.groupBy(F.col("b").alias("fingerprint")).agg(F.min("a").alias("least"))
+    linked = own.join(least, "fingerprint").join(heads.withColumnRenamed("fingerprint", "least"), "least")
+    ends = own.join(heads, "fingerprint").select("a", "b").unionByName(linked.select("a", "b"))
+    return _pairs(ends.where("a.node <> b.node").where(_may_link("a", "b", similarity)))
+
+
+def linked_across(nodes: DataFrame, links: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (``a``, ``b``), a < b, of nodes of different ``label`` whose fingerprints are equal or linked.
+
+    Pairs whose counts rule out the similarity are left out.  Fingerprints whose nodes are all of one label do
+    not meet.
+    """
+    labels = nodes.groupBy("fingerprint").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    labels = as_table(labels, "similar-labels")
+    one = labels.select(F.col("fingerprint").alias("a"), F.struct("low", "high").alias("one"))
+    two = labels.select(F.col("fingerprint").alias("b"), F.struct("low", "high").alias("two"))
+    mixed = links.join(one, "a").join(two, "b").where("one <> two OR one.low <> one.high").select("a", "b")
+    equal = labels.where("low <> high").select(F.col("fingerprint").alias("a"), F.col("fingerprint").alias("b"))
+    meet = mixed.unionByName(equal).withColumnsRenamed({"a": "print_a", "b": "print_b"})
+    own = F.struct("node", "label", "n_shingles", "n_shared")
+    ends = (
+        meet.join(nodes.select(F.col("fingerprint").alias("print_a"), own.alias("a")), "print_a")
+        .join(nodes.select(F.col("fingerprint").alias("print_b"), own.alias("b")), "print_b")
+    )
+    return _pairs(ends.where("a.label <> b.label").where(_may_link("a", "b", similarity)))
+
+
+def _pairs(ends: DataFrame) -> DataFrame:
+    return ends.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+
+
 def met_at_pivots(nodes: DataFrame, similarity: float) -> DataFrame:
     """Pairs (``a``, ``b``), a < b, of each node with two others that share a band key.
 
@@ -294,8 +338,7 @@ def met_at_pivots(nodes: DataFrame, similarity: float) -> DataFrame:
     ends = own.join(pivots, "key").select(
         F.explode(F.array("hub.own", "last")).alias("a"), F.col("own").alias("b")
     )
-    ends = ends.where("a.node <> b.node").where(_may_link("a", "b", similarity))
-    return ends.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b")).distinct()
+    return _pairs(ends.where("a.node <> b.node").where(_may_link("a", "b", similarity)))
 
 
 def met_in_bands(nodes: DataFrame, similarity: float) -> DataFrame:
@@ -324,23 +367,26 @@ def similar_texts(
     docs: DataFrame,
     words: int = 5,
     similarity: float = 0.8,
+    distance: int = 3,
     id_column: str = "doc_id",
     text_column: str = "text",
 ) -> DataFrame:
     """One row per document: ``id``, ``row_key``, ``label``, ``component_id``.
 
-    Links texts whose sets of word shingles have that Jaccard similarity or more.  Candidates share
-    one of the :func:`band_keys`, which miss 7 pairs in 10,000 at a similarity of 0.8 and fewer
-    above, however the texts differ: edited, cut or extended.  Every candidate is then
-    compared by the shingles themselves, as 64-bit hashes.  Documents connected by links form
-    a component; ``component_id`` is its smallest id.
+    Links texts whose sets of word shingles have that Jaccard similarity or more.  Candidates are, as in
+    :func:`near_duplicates`, texts with fingerprints at most ``distance`` bits apart, found by multi-index
+    hashing; and, as a similarity of 0.8 is about ten bits, those that share one of the :func:`band_keys`,
+    which miss 7 pairs in 10,000 at 0.8 and fewer above, however the texts differ: edited, cut or extended.
+    Every candidate is then compared by the shingles themselves, as 64-bit hashes.  Documents connected
+    by links form a component; ``component_id`` is its smallest id.
 
     A large group of near copies would meet in as many pairs as its square.  Three steps lessen
     that, none of which loses a pair of the similarity.  Nodes that meet another are found without
     building pairs, and for these is counted how many of their shingles any other such node has; too
-    few rule out every partner.  The rest are compared with two pivots of each band key.
-    At last they meet only across the components this gives, and only where the shared
-    shingles of both allow the similarity.
+    few rule out every partner.  The rest are compared with two pivots of each band key, one node of their
+    fingerprint and one of the least linked to it.  At last they meet only across the components
+    this gives, and only where the shared shingles of both allow the similarity.  All
+    tables but the two that the result reads are deleted once it is known.
 
     Texts with equal sets of shingles, copies above all, are one node and never meet as pairs.  Null
     and empty texts have no words and form one component.  Rows with null ids are kept; a
@@ -348,32 +394,45 @@ def similar_texts(
     Of an empty table the result is empty.  Other columns are not read.
     """
     tagged = as_table(with_bands(docs, words, id_column, text_column), "similar-prints")
+    texts = docs.select(row_key(id_column, text_column).alias("row_key"), F.col(text_column).alias("text"))
+    with scratch_tables(docs.sparkSession):
+        named = _classes(tagged, texts, words, similarity, distance)
+    return tagged.select("id", "row_key", "print_key").join(named, "print_key").select("id", "row_key", "label", "component_id")
+
+
+def _classes(tagged: DataFrame, texts: DataFrame, words: int, similarity: float, distance: int) -> DataFrame:
+    """A stored table of ``print_key``, ``label`` and ``component_id``."""
     nodes = as_table(
         tagged.groupBy("print_key").agg(
-            F.min("id").alias("least"), F.min("row_key").alias("row_key"), F.any_value("bands").alias("bands")
+            F.min("id").alias("least"), F.min("row_key").alias("row_key"), F.min("fingerprint").alias("fingerprint"),
+            F.any_value("bands").alias("bands"),
         ).withColumn("node", F.monotonically_increasing_id()),
         "similar-nodes",
     )
+    prints = as_table(nodes.select("fingerprint").distinct(), "similar-fingerprints")
+    near = as_table(near_links(prints, distance), "similar-near")
+    met = with_company(nodes.select("node", "bands")).unionByName(
+        with_linked_fingerprints(nodes.select("node", "fingerprint"), near)
+    )
     company = as_table(
-        nodes.select("node", "row_key", "bands").join(with_company(nodes.select("node", "bands")), "node"),
-        "similar-company",
+        nodes.select("node", "row_key", "fingerprint", "bands").join(met.distinct(), "node"), "similar-company"
     )
-    texts = docs.select(row_key(id_column, text_column).alias("row_key"), F.col(text_column).alias("text"))
-    counted = with_shared_shingles(texts.join(company, "row_key").dropDuplicates(["node"]), words)
-    able = as_table(
-        counted.where(F.col("n_shared") >= similarity * F.col("n_shingles") - 1e-6), "similar-able"
+    wanted = texts.join(company.select("row_key", "node"), "row_key").dropDuplicates(["node"])
+    sets = as_table(shingle_sets(wanted, words), "similar-shingles")
+    able = shared_shingles(sets).where(
+        (F.col("n_shingles") > 0) & (F.col("n_shared") >= similarity * F.col("n_shingles") - 1e-6)
     )
-    keyed = able.drop("codes")
+    keyed = as_table(able.join(company.select("node", "fingerprint", "bands"), "node"), "similar-able")
 
     def verified(met: DataFrame, name: str) -> DataFrame:
         """Those that are as similar as asked.  Of each pair the two sets travel once, and meet by the pair."""
         pairs = as_table(met, f"{name}-met")
         ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
-        sets = ends.join(able.select("node", "codes"), "node").groupBy("a", "b").agg(F.collect_list("codes").alias("sets"))
+        both = ends.join(sets.select("node", "codes"), "node").groupBy("a", "b").agg(F.collect_list("codes").alias("sets"))
         one, two = F.col("sets")[0], F.col("sets")[1]
         common = F.size(F.array_intersect(one, two))
-        near = common * (1 + similarity) >= (F.size(one) + F.size(two)) * similarity - 1e-6
-        return as_table(sets.where(near).select("a", "b"), name)
+        alike = common * (1 + similarity) >= (F.size(one) + F.size(two)) * similarity - 1e-6
+        return as_table(both.where(alike).select("a", "b"), name)
 
     def labelled(some: DataFrame, links: DataFrame) -> DataFrame:
         labels = components(links).withColumnRenamed("node", "linked")
@@ -381,10 +440,11 @@ def similar_texts(
             *some.columns, F.coalesce("label", "node").alias("label")
         )
 
-    stars = verified(met_at_pivots(keyed, similarity), "similar-stars")
+    met = met_by_fingerprint(keyed, near, similarity).unionByName(met_at_pivots(keyed, similarity))
+    stars = verified(met.distinct(), "similar-stars")
     partly = as_table(labelled(keyed, stars), "similar-partly")
-    links = verified(met_in_bands(partly, similarity), "similar-links")
+    met = linked_across(partly, near, similarity).unionByName(met_in_bands(partly, similarity))
+    links = verified(met.distinct(), "similar-links")
     named = labelled(nodes.select("node", "print_key", "least"), stars.unionByName(links))
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
-    named = as_table(named.join(least, "label").select("print_key", "label", "component_id"), "similar-classes")
-    return tagged.select("id", "row_key", "print_key").join(named, "print_key").select("id", "row_key", "label", "component_id")
+    return as_table(named.join(least, "label").select("print_key", "label", "component_id"), "similar-classes", kept=True)

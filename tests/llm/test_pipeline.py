@@ -4,9 +4,10 @@ import itertools
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from epiledger.llm import queries
+from epiledger.llm import queries, simhash
 from epiledger.llm.common import read
 from epiledger.llm.simhash import similar_texts
 from verification.compare import _bag, connect
@@ -39,6 +40,34 @@ def test_near_copies_miss_at_most_one_pair_in_a_hundred(spark):
     assert len(alike) > 50 and linked >= 0.99 * len(alike)
 
 
+def test_near_copies_meet_by_fingerprint_and_are_checked(spark, monkeypatch):
+    """With no bands to meet in: fingerprints a few bits apart, of alike texts alone, leave one document."""
+    none = spark.createDataFrame([], "a long, b long")
+    monkeypatch.setattr(simhash, "with_company", lambda nodes: nodes.select("node").where("false"))
+    monkeypatch.setattr(simhash, "met_at_pivots", lambda nodes, similarity: none)
+    monkeypatch.setattr(simhash, "met_in_bands", lambda nodes, similarity: none)
+    words = [f"w{k}" for k in range(400)]
+    edits = [" ".join([*words[:k], "edited", *words[k + 1 :]]) for k in range(0, 400, 10)]
+    near = [t for t in edits if 0 < (simhash.simhash(t) ^ simhash.simhash(" ".join(words))).bit_count() <= 3]
+    again = "a b c " * 300  # its shingles decide the fingerprint, what follows decides the set
+    loose = [again + " ".join(f"{side}{k}" for k in range(40)) for side in "xy"]
+    assert near and (simhash.simhash(loose[0]) ^ simhash.simhash(loose[1])).bit_count() <= 3
+    texts = [" ".join(words), *near, *loose, ""]
+    docs = spark.createDataFrame([(k, t, None, None, 1, None, None) for k, t in enumerate(texts)], DDL)
+    kept = {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, SMALL).collect()}
+    assert kept == {0, *range(len(near) + 1, len(texts))}
+
+
+def test_scratch_of_near_copies_goes(spark):
+    place = spark._jvm.org.apache.hadoop.fs.Path(simhash.as_table(spark.range(1), "probe").inputFiles()[0]).getParent().getParent()
+    there = lambda: {f.getPath().getName() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)}
+    before = there()
+    docs = spark.range(20).select(F.col("id").alias("doc_id"), F.lit("one two three four five six").alias("text"))
+    found = similar_texts(docs)
+    assert {n.rsplit("-", 1)[0] for n in there() - before} == {"similar-prints", "similar-classes"}
+    assert {r.component_id for r in found.collect()} == {0}
+
+
 @pytest.mark.parametrize("name", queries.ORACLES)
 def test_query_equals_twin(spark, name):
     cursor = connect(SMALL).execute(queries.ORACLES[name])
