@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from epiledger.llm.common import row_key, slices
+from epiledger.llm.common import dealt, row_key, slices
 from epiledger.llm.graph import components
 from epiledger.sources.shared import as_table, scratch_tables
 
@@ -89,7 +89,8 @@ def near_links(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataF
     most ``distance // segments`` bits, so each fingerprint looks up, for every segment, the
     small Hamming ball around its value in a table by segment value; what it meets is compared
     in full.  With two segments a table key has 32 bits, so as many as a few billion
-    fingerprints fill it thinly.  A pair is met from both sides and kept from one.
+    fingerprints fill it thinly.  A pair is met from both sides and kept from one.  There are 33
+    lookups for each segment, so they are never sent whole, however small the table they are made from.
     """
     width = 64 // segments
     mask = (1 << width) - 1
@@ -110,7 +111,7 @@ def near_links(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataF
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     met = (F.col("a") < F.col("b")) & (apart <= distance)
     return (
-        probes.join(table, ["s", "key"]).where(met).select("a", "b").distinct()
+        dealt(probes).join(table, ["s", "key"]).where(met).select("a", "b").distinct()
     )
 
 
@@ -272,7 +273,7 @@ def shared_shingles(sets: DataFrame) -> DataFrame:
         .where("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("n_own")),
         "similar-own",
     )
-    return sets.select("node", "n_shingles").join(own, "node", "left").select(
+    return sets.select("node", "n_shingles").join(dealt(own), "node", "left").select(
         "node", "n_shingles", (F.col("n_shingles") - F.coalesce("n_own", F.lit(0))).alias("n_shared")
     )
 
@@ -335,7 +336,7 @@ def met_at_pivots(nodes: DataFrame, similarity: float) -> DataFrame:
         F.min(F.struct(edited.alias("edited"), F.col("own.node").alias("node"), F.col("own").alias("own"))).alias("hub"),
         F.max("own").alias("last"),
     )
-    ends = own.join(pivots, "key").select(
+    ends = dealt(own).join(pivots, "key").select(
         F.explode(F.array("hub.own", "last")).alias("a"), F.col("own").alias("b")
     )
     return _pairs(ends.where("a.node <> b.node").where(_may_link("a", "b", similarity)))
@@ -354,7 +355,7 @@ def met_in_bands(nodes: DataFrame, similarity: float) -> DataFrame:
     mixed = labels.agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high")
     own = own.join(as_table(mixed.select("key"), "similar-mixed"), "key", "left_semi")
     agree = F.zip_with("a.bands", "b.bands", lambda x, y: x == y)
-    met = own.select("key", "band", F.col("own").alias("a")).join(
+    met = dealt(own.select("key", "band", F.col("own").alias("a"))).join(
         own.select(F.col("key").alias("key_b"), F.col("own").alias("b")),
         (F.col("key") == F.col("key_b")) & (F.col("a.node") < F.col("b.node"))
         & (F.col("a.label") != F.col("b.label")) & _may_link("a", "b", similarity)
@@ -397,7 +398,7 @@ def similar_texts(
     texts = docs.select(row_key(id_column, text_column).alias("row_key"), F.col(text_column).alias("text"))
     with scratch_tables(docs.sparkSession):
         named = _classes(tagged, texts, words, similarity, distance)
-    return tagged.select("id", "row_key", "print_key").join(named, "print_key").select("id", "row_key", "label", "component_id")
+    return dealt(tagged.select("id", "row_key", "print_key")).join(named, "print_key").select("id", "row_key", "label", "component_id")
 
 
 def _classes(tagged: DataFrame, texts: DataFrame, words: int, similarity: float, distance: int) -> DataFrame:
@@ -422,13 +423,13 @@ def _classes(tagged: DataFrame, texts: DataFrame, words: int, similarity: float,
     able = shared_shingles(sets).where(
         (F.col("n_shingles") > 0) & (F.col("n_shared") >= similarity * F.col("n_shingles") - 1e-6)
     )
-    keyed = as_table(able.join(company.select("node", "fingerprint", "bands"), "node"), "similar-able")
+    keyed = as_table(able.join(dealt(company.select("node", "fingerprint", "bands")), "node"), "similar-able")
 
     def verified(met: DataFrame, name: str) -> DataFrame:
         """Those that are as similar as asked.  Of each pair the two sets travel once, and meet by the pair."""
         pairs = as_table(met, f"{name}-met")
         ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"))
-        both = ends.join(sets.select("node", "codes"), "node").groupBy("a", "b").agg(F.collect_list("codes").alias("sets"))
+        both = dealt(ends).join(sets.select("node", "codes"), "node").groupBy("a", "b").agg(F.collect_list("codes").alias("sets"))
         one, two = F.col("sets")[0], F.col("sets")[1]
         common = F.size(F.array_intersect(one, two))
         alike = common * (1 + similarity) >= (F.size(one) + F.size(two)) * similarity - 1e-6

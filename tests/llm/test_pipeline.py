@@ -58,6 +58,38 @@ def test_near_copies_meet_by_fingerprint_and_are_checked(spark, monkeypatch):
     assert kept == {0, *range(len(near) + 1, len(texts))}
 
 
+def sent_exploded(df):
+    """The lines of the plan that explode rows for a join that sends them to all nodes as they are."""
+    found, above = [], []
+    for line in df._jdf.queryExecution().executedPlan().toString().splitlines():
+        name = line.lstrip(" :+-")
+        depth = len(line) - len(name)
+        above = [(d, n) for d, n in above if d < depth]
+        names = [n for _, n in above]
+        sent = max((k for k, n in enumerate(names) if n.startswith("BroadcastExchange")), default=None)
+        if name.startswith("Generate") and sent is not None and not any("Aggregate" in n for n in names[sent:]):
+            found.append(line)
+        above.append((depth, name))
+    return found
+
+
+def test_near_copies_send_no_exploded_table(spark, monkeypatch):
+    sent, store = {}, simhash.as_table
+
+    def stored(df, name, **kept):
+        sent[name] = sent_exploded(df)
+        return store(df, name, **kept)
+
+    monkeypatch.setattr(simhash, "as_table", stored)
+    words = [f"w{k}" for k in range(300)]
+    texts = [" ".join([*words[:k], "edited", *words[k + 1 :]]) for k in range(0, 300, 10)]
+    docs = spark.createDataFrame(list(enumerate([*texts, *texts, "a b c", ""])), "doc_id long, text string")
+    found = {r.id: r.component_id for r in similar_texts(docs).collect()}
+    assert found == {**{k: 0 for k in range(60)}, 60: 60, 61: 61}
+    assert {"similar-near", "similar-stars-met", "similar-stars", "similar-links-met", "similar-links"} <= set(sent)
+    assert not any(sent.values()), {n: lines for n, lines in sent.items() if lines}
+
+
 def test_scratch_of_near_copies_goes(spark):
     place = spark._jvm.org.apache.hadoop.fs.Path(simhash.as_table(spark.range(1), "probe").inputFiles()[0]).getParent().getParent()
     there = lambda: {f.getPath().getName() for f in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)}
