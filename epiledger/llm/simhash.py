@@ -144,7 +144,7 @@ def near_duplicates(
     )
     least = named.groupBy("label").agg(F.min("least").alias("component_id"))
     named = as_table(named.join(least, "label").select("fingerprint", "label", "component_id"), "simhash-classes")
-    return tagged.join(named, "fingerprint")
+    return dealt(tagged).join(named, "fingerprint")
 
 
 def _spread(hashes: np.ndarray, lanes: int) -> np.ndarray:

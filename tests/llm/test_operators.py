@@ -406,6 +406,14 @@ def test_near_duplicates_equal_brute_force(spark):
     assert {r.doc_id: (r.fingerprint, r.component_id) for r in found} == {i: (f"{p:016x}", root(i)) for i, p in prints.items()}
 
 
+def test_near_duplicates_send_no_lookups_and_no_documents(spark, docs):
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    prints = spark.range(1000).select(F.xxhash64("id").alias("fingerprint"))
+    assert "SortMergeJoin [s" in plan(near_links(prints)) and "Broadcast" not in plan(near_links(prints))
+    found = near_duplicates(docs).select("id", "fingerprint", "component_id")
+    assert "SortMergeJoin [fingerprint" in plan(found) and "Broadcast" not in plan(found)
+
+
 def test_texts_without_words_are_linked(docs):
     found = near_duplicates(docs).where("fingerprint = 0").collect()
     assert {(r.id, r.component_id) for r in found} == {(4, 4), (5, 4), (None, 4)}
