@@ -308,6 +308,9 @@ class Emissions:
         mass = class_mass(counts, lexicon.class_tokens)
         self.lexicon, self.of_class = lexicon, mass.sum(0)
         self.share = mass / self.of_class
+        spread = mass - counts
+        # Of each class, what its other occurrences say when one is held out.
+        self.others = (spread + np.maximum(counts - 1, 0)) / np.maximum(self.of_class - 1, spread.sum(0))
         self.shrink, self.totals = SHRINKS[-1], mass.sum(1)
 
     def mass(self, classes: np.ndarray, c: np.ndarray, n: np.ndarray, shrink: float) -> np.ndarray:
@@ -318,8 +321,8 @@ class Emissions:
     def fit(self, table: DataFrame) -> None:
         """Takes the ``shrink`` under which words of the table foretell their own states best.
 
-        Each occurrence is held out in turn: its state is foretold from the word's other occurrences and the
-        class.  One pass sums that, and the totals, for every candidate.
+        Each occurrence is held out in turn: its state is foretold from the other occurrences of the word and of
+        the class.  One pass sums that, and the totals, for every candidate.
         """
         states = len(self.totals)
 
@@ -329,7 +332,7 @@ class Emissions:
                 classes = self.lexicon.classes(batch.column("word"))
                 c = batch.column("c").to_numpy()
                 n = batch.column("n").flatten().to_numpy().reshape(-1, states).T.astype(float)
-                share = self.share[:, classes]
+                share = self.others[:, classes]
                 for k, shrink in enumerate(SHRINKS):
                     others = np.log((np.maximum(n - 1, 0) + shrink * share) / (np.maximum(c - 1, 0) + shrink))
                     sums[k, 0] += (n * others).sum()
