op10_simhash: balls of fingerprints are met in masked tables instead of listed value by value

Symptom: op10_simhash's shuffle grew as its input to the power 1.20, 39 MB on 0.10 GB and 269 MB on 0.51 GB; CPU seconds did not (0.91).
Evidence: near_links shuffled 66 lookups and 2 table rows a fingerprint, 15.6 M rows and 251 of the 269 MB. Rows a fingerprint stay the same, but with more partitions (12, 51) the copies of one fingerprint land apart and compress worse: 11.1 and 15.7 bytes a row in a run of near_links alone.
Fix: A segment's ball of radius 1 is met in 8 tables whose key leaves out 4 bits, even against odd values, and in one of whole values: 20 rows a fingerprint. Evenly spread fingerprints are compared as often as before, values that many share once.
Effect, together with 1 more commit on this code: at 0.6 GB of input CPU 329 -> 276 s, shuffle 0.45 -> 0.17 GB, spill 0.00 -> 0.00 GB, read 0.63 -> 0.63 GB, longest task 12 -> 12 s, most memory of a task 204 -> 118 MB; at 6 GB of input CPU 1642 -> 1208 s, shuffle 4.53 -> 1.65 GB, spill 0.00 -> 0.00 GB, read 6.32 -> 6.32 GB, longest task 24 -> 24 s, most memory of a task 238 -> 303 MB; with hot keys, at 0.6 GB of input CPU 292 -> 247 s, shuffle 0.37 -> 0.14 GB, spill 0.00 -> 0.00 GB, read 0.22 -> 0.22 GB, longest task 8 -> 8 s, most memory of a task 204 -> 120 MB.

@@ -8,6 +8,7 @@ those by MinHash beside the fingerprints and compares the shingles of all that m
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -71,15 +72,7 @@ def with_fingerprints(
     return source.mapInArrow(tag, schema)
 
 
-def _ball(key: Column, bits: int, radius: int) -> Column:
-    """The key and all keys of as many bits that differ in at most ``radius`` of them."""
-    masks, new = [0], [0]
-    for _ in range(radius):
-        new = sorted({m ^ (1 << b) for m in new for b in range(bits)} - set(masks))
-        masks += new
-    if bits < 63:
-        return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: key.bitwiseXOR(m))
-    raise ValueError("segments have fewer bits")
+RUN_BITS = 4
 
 
 def near_links(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataFrame:
@@ -87,31 +80,38 @@ def near_links(prints: DataFrame, distance: int = 3, segments: int = 2) -> DataF
 
     The 64 bits are cut into segments.  Of two fingerprints that near, some segment differs in at
     most ``distance // segments`` bits, so each fingerprint looks up, for every segment, the
-    small Hamming ball around its value in a table by segment value; what it meets is compared
-    in full.  With two segments a table key has 32 bits, so as many as a few billion
-    fingerprints fill it thinly.  A pair is met from both sides and kept from one.  There are 33
-    lookups for each segment, so they are never sent whole, however small the table they are made from.
+    small Hamming ball around its value; what it meets is compared in full.
+
+    The values of a ball are not listed one by one, as every one would be a shuffled row.  A segment is cut
+    into runs of four bits.  Two values n bits apart agree outside some n runs, so they meet in a table whose
+    key leaves these out.  If n is odd, one value has an even and one an odd number of bits set, and only those
+    meet: a value that many fingerprints share meets itself in the table of whole values alone.  A ball of
+    radius 1 around 32 bits takes ten rows instead of 34, and evenly spread fingerprints are compared as often:
+    with two segments they fill the tables thinly up to a few billion.
+    The rows are never sent whole, however small the table they are made from.
     """
     width = 64 // segments
+    if width > 62:
+        raise ValueError("segments have fewer bits")
     mask = (1 << width) - 1
-
-    def segment(s: int) -> Column:
-        return F.shiftrightunsigned("fingerprint", s * width).bitwiseAND(F.lit(mask))
-
-    table = prints.select(
-        F.explode(F.array(*[F.struct(F.lit(s).alias("s"), segment(s).alias("key")) for s in range(segments)])).alias("k"),
-        F.col("fingerprint").alias("b"),
-    ).select("k.s", "k.key", "b")
-    probes = prints.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(s).alias("s"), _ball(segment(s), width, distance // segments).alias("keys")) for s in range(segments)])
-        ).alias("k"),
-        F.col("fingerprint").alias("a"),
-    ).select(F.col("k.s").alias("s"), F.explode("k.keys").alias("key"), "a")
+    runs = [mask & (((1 << RUN_BITS) - 1) << low) for low in range(0, width, RUN_BITS)]
+    tables, crossed = [], []
+    for s in range(segments):
+        value = F.shiftrightunsigned("fingerprint", s * width).bitwiseAND(F.lit(mask))
+        for n in range(distance // segments + 1):
+            odd = F.bit_count(value) % 2 == 1 if n % 2 else F.lit(None).cast("boolean")
+            for left_out in itertools.combinations(runs, min(n, len(runs))):
+                key = value.bitwiseAND(F.lit(mask - sum(left_out)))
+                crossed += [len(tables)] * (n % 2)
+                tables.append(F.struct(F.lit(len(tables)).alias("s"), key.alias("key"), odd.alias("odd")))
+    rows = prints.select(F.explode(F.array(*tables)).alias("k"), "fingerprint").select("k.*", "fingerprint")
+    one = rows.where("odd IS NULL OR NOT odd").select("s", "key", F.col("fingerprint").alias("a"))
+    two = rows.where("odd IS NULL OR odd").select("s", "key", F.col("fingerprint").alias("b"))
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    met = (F.col("a") < F.col("b")) & (apart <= distance)
+    met = (apart <= distance) & ((F.col("a") < F.col("b")) | F.col("s").isin(crossed))
     return (
-        dealt(probes).join(table, ["s", "key"]).where(met).select("a", "b").distinct()
+        dealt(one).join(two, ["s", "key"]).where(met)
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     )
 
 
