@@ -48,6 +48,11 @@ def test_balls_are_not_listed_value_by_value(spark, monkeypatch):
     assert 0 < sum(sent) <= 18 * 2000
 
 
+def test_rows_are_sorted_by_what_differs_most(spark):
+    prints = spark.range(10).select(F.xxhash64("id").alias("fingerprint"))
+    assert "SortMergeJoin [segment" in near_links(prints)._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize(("distance", "segments"), [(0, 2), (1, 2), (3, 2), (3, 3), (3, 4), (5, 2)])
 def test_no_pair_is_lost_whatever_the_segments(spark, distance, segments):
     prints = clusters(np.random.default_rng(distance * 10 + segments), distance)
